@@ -84,14 +84,19 @@ def page_items(catalogue: DataFrame, page: int = 1, size: int = 50, category: st
     """The records of one page in code order.
 
     Early pages are a top-k. A late page would make that top-k hold all pages before it, so
-    there rows are numbered with a distributed sort and the page is a filter on the number.
+    there the page is cut from numbered rows.
     """
     _check_page(page, size)
-    selected = _selected(catalogue, category, active_only)
+    if page * size > _SHALLOW_ROWS:
+        return numbered_page(catalogue, page, size, category, active_only)
+    return _selected(catalogue, category, active_only).orderBy("code").offset((page - 1) * size).limit(size)
+
+
+def numbered_page(catalogue: DataFrame, page: int, size: int, category: str | None = None,
+                  active_only: bool = False) -> DataFrame:
+    """The same page for any depth: rows are numbered with a distributed sort and filtered."""
+    numbered = number_rows(_selected(catalogue, category, active_only), [F.col("code")])
     start = (page - 1) * size
-    if start + size <= _SHALLOW_ROWS:
-        return selected.orderBy("code").offset(start).limit(size)
-    numbered = number_rows(selected, [F.col("code")])
     return numbered.where(F.col("position").between(start, start + size - 1)).drop("position")
 
 

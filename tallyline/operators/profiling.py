@@ -62,8 +62,8 @@ def null_report(lines: DataFrame) -> DataFrame:
 def quantity_profile(lines: DataFrame) -> DataFrame:
     q = to_number(F.col("quantity"))
     counted = lines.withColumn("q", q).groupBy("source").agg(
-        F.count("*").alias("total"), F.count_if("q > 0").alias("sales"),
-        F.count_if("q <= 0").alias("returns"), F.count_if(F.col("q").isNull()).alias("not_numeric"),
+        F.count("*").alias("total"), F.count_if(F.col("q") > 0).alias("sales"),
+        F.count_if(F.col("q") <= 0).alias("returns"), F.count_if(F.col("q").isNull()).alias("not_numeric"),
         F.min("q").alias("lo"), F.max("q").alias("hi"),
     )
     return counted.select(
@@ -100,7 +100,7 @@ def quantity_histogram(lines: DataFrame, low: int = -100, high: int = 200, sale_
     filled = counted.join(ends, ["source", "kind"]).withColumn("bin", number).groupBy(
         "source", "kind", "bin").agg(F.sum("n").alias("lines"))
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
-    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).cast("bigint"))
+    every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("bins") - 1).cast("bigint"))))
     return every.join(filled, ["source", "kind", "bin"], "left").select(
         "source", "kind", "bin",
         rounded(F.col("lo") + F.col("bin") * width, 4).alias("bin_low"),
@@ -171,7 +171,7 @@ def most_varied_codes(lines: DataFrame, n: int = 5) -> DataFrame:
 
 def variant_summary(lines: DataFrame) -> DataFrame:
     return description_variants(lines).agg(
-        F.count("*").alias("product_codes"), F.count_if("variants > 1").alias("codes_with_variants"))
+        F.count("*").alias("product_codes"), F.count_if(F.col("variants") > 1).alias("codes_with_variants"))
 
 
 def variants_of_top_code(lines: DataFrame, n: int = 8) -> DataFrame:
@@ -203,7 +203,7 @@ def overlapping_invoices(lines: DataFrame) -> DataFrame:
     per_invoice = lines.where("invoice_no IS NOT NULL").groupBy("invoice_no").agg(
         F.bool_or(F.col("source") == "source1").alias("in1"),
         F.bool_or(F.col("source") == "source2").alias("in2"))
-    return per_invoice.agg(F.count_if("in1 AND in2").alias("overlapping_invoices"))
+    return per_invoice.agg(F.count_if(F.col("in1") & F.col("in2")).alias("overlapping_invoices"))
 
 
 def country_profile(lines: DataFrame, n: int = 10) -> DataFrame:

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from tallyline.functions.numbers import percent, quotient, ratio, rounded
 from tallyline.schemas import NO_DESCRIPTION
 
-_MONTH_NUMBER = F.col("year") * 12 + F.col("month")
+_MONTH_NUMBER = "year * 12 + month"
 
 
 def _change(months: DataFrame, distance: int, name: str) -> DataFrame:
     """Net sales against the month ``distance`` months earlier; months may be missing."""
-    now = months.select("year", "month", _MONTH_NUMBER.alias("at"), F.col("net_revenue").alias("net"))
-    before = months.select((_MONTH_NUMBER + distance).alias("at"), F.col("net_revenue").alias("earlier"))
+    now = months.select("year", "month", F.expr(_MONTH_NUMBER).alias("at"), F.col("net_revenue").alias("net"))
+    before = months.select((F.expr(_MONTH_NUMBER) + distance).alias("at"), F.col("net_revenue").alias("earlier"))
     return now.join(before, "at").select(
         "year", "month", rounded(F.col("net")).alias("ventas_netas"),
         rounded(F.col("earlier")).alias("ventas_anteriores"),
