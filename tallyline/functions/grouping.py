@@ -38,15 +38,12 @@ def subtract_copies(df: DataFrame, taken: DataFrame) -> DataFrame:
     return once.unionByName(spread.select(columns))
 
 
-def weighted_mode(
-    df: DataFrame, keys: list[str], value: str, weight: Column, out: str, ties: Column | None = None
-) -> DataFrame:
-    """Most frequent ``value`` per key; ties go to the lowest ``ties`` (the value by default).
+def weighted_mode(df: DataFrame, keys: list[str], value: str, weight: Column, out: str) -> DataFrame:
+    """Most frequent ``value`` per key; ties go to the lowest value.
 
     Two partial aggregations, (key, value) then key: a hot key is reduced to its distinct values
     before the first shuffle and spread over (key, value) in it.
     """
-    tie = F.col(value) if ties is None else ties
-    counted = df.groupBy(*keys, value).agg(F.sum(weight).alias("_n"), F.min(tie).alias("_tie"))
-    best = F.min_by(F.col(value), F.struct(-F.col("_n"), F.col("_tie"), F.col(value)))
-    return counted.groupBy(*keys).agg(best.alias(out), F.sum("_n").alias("_lines"))
+    counted = df.groupBy(*keys, value).agg(F.sum(weight).alias("_n"))
+    best = F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value)))
+    return counted.groupBy(*keys).agg(best.alias(out))

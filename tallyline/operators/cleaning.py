@@ -119,7 +119,7 @@ def past_code_rule(checked: DataFrame) -> DataFrame:
 def fill_names(checked: DataFrame) -> DataFrame:
     """Most frequent description per stripped code, in its original case."""
     named = past_code_rule(checked).where("description IS NOT NULL")
-    return weighted_mode(named, ["code_key"], "description", F.lit(1), "fill_name").drop("_lines")
+    return weighted_mode(named, ["code_key"], "description", F.lit(1), "fill_name")
 
 
 def fill_description(lines: DataFrame, names: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def canonical_names(checked: DataFrame, names: DataFrame) -> DataFrame:
         F.count("*").alias("n")
     )
     filled = fill_description(counted, names)
-    return weighted_mode(filled, ["product_code"], "description", F.col("n"), "canonical_name").drop("_lines")
+    return weighted_mode(filled, ["product_code"], "description", F.col("n"), "canonical_name")
 
 
 @dataclass

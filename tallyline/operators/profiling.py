@@ -5,6 +5,8 @@ All reports group by ``source``, so both exports are profiled in one pass.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,19 +26,18 @@ def file_order(lines: DataFrame) -> list[Column]:
 
 def shape(raw: dict[str, DataFrame]) -> DataFrame:
     """Row and column counts, names, types and names the other sources do not have."""
-    result = None
+    rows = []
     for name, table in raw.items():
         fields = [f for f in table.schema.fields if f.name != "line_order"]
         others = {c for other, t in raw.items() if other != name for c in t.columns}
-        row = table.agg(F.count("*").alias("n_rows")).select(
+        rows.append(table.agg(F.count("*").alias("n_rows")).select(
             F.lit(name).alias("source"), "n_rows",
             F.lit(len(fields)).cast("bigint").alias("n_columns"),
             F.lit(", ".join(f.name for f in fields)).alias("column_names"),
             F.lit(", ".join(f.dataType.simpleString() for f in fields)).alias("column_types"),
             F.lit(", ".join(f.name for f in fields if f.name not in others)).alias("only_here"),
-        )
-        result = row if result is None else result.unionByName(row)
-    return result
+        ))
+    return reduce(DataFrame.unionByName, rows)
 
 
 def sample(lines: DataFrame, n: int = 30) -> DataFrame:
@@ -97,7 +98,8 @@ def quantity_histogram(lines: DataFrame, low: int = -100, high: int = 200, sale_
         F.floor((F.col("q") - F.col("lo")) * F.col("bins") / (F.col("hi") - F.col("lo"))),
         (F.col("bins") - 1).cast("bigint"),
     )
-    filled = counted.join(ends, ["source", "kind"]).withColumn("bin", number).groupBy(
+    # Two rows per source: small whatever the number of lines.
+    filled = counted.join(F.broadcast(ends), ["source", "kind"]).withColumn("bin", number).groupBy(
         "source", "kind", "bin").agg(F.sum("n").alias("lines"))
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
     every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("bins") - 1).cast("bigint"))))
@@ -119,16 +121,16 @@ def price_profile(lines: DataFrame) -> DataFrame:
     )
 
 
-def date_profile(lines: DataFrame) -> DataFrame:
+def date_profile(lines: DataFrame, sources: tuple[str, ...] = ("source1", "source2")) -> DataFrame:
     """Per source: text of the first line, first and last time, texts that do not parse."""
     stamped = lines.withColumn("ts", dates.general_timestamp(F.col("invoice_date")))
-    place = [F.struct(F.col(c).isNull(), F.col(c)) for c in _DATA_COLUMNS]
-    first = F.struct(F.col("line_order")) if "line_order" in lines.columns else F.struct(*place)
-    return stamped.groupBy("source").agg(
-        F.min_by("invoice_date", first).alias("first_text"),
+    ranges = stamped.groupBy("source").agg(
         dates.iso_text(F.min("ts")).alias("first_time"), dates.iso_text(F.max("ts")).alias("last_time"),
         F.count_if(F.col("ts").isNull()).alias("invalid_dates"),
     )
+    firsts = [sample(lines.where(F.col("source") == source), 1) for source in sources]
+    first = reduce(DataFrame.unionByName, firsts).select("source", F.col("invoice_date").alias("first_text"))
+    return first.join(ranges, "source")
 
 
 def source_overlap(lines: DataFrame) -> DataFrame:

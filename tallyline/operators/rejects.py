@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,10 +88,7 @@ def pipeline_counts(checked: DataFrame, dedup_counts: DataFrame, products: DataF
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     counts = [table.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
               for name, table in tables.items()]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
-    return result
+    return reduce(DataFrame.unionByName, counts)
 
 
 def past_date_rule(checked: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.numbers import percent, quotient, ratio, rounded
 from tallyline.functions.ranking import top_fraction_cut
 from tallyline.schemas import ALERT_TEXT, DAILY_MEASURES, NO_DESCRIPTION, SALE
+from tallyline.session import stage
 
 
 def _sums(*names: str) -> list[Column]:
@@ -164,13 +165,15 @@ def _critical_products(daily: DataFrame, products: DataFrame, min_sales: int, to
     """Products in the top shares of both revenue and return rate.
 
     A descending percent rank within a fraction is the same as a value at or above a cut, so
-    only the two cuts are needed and not a rank for each row.
+    only the two cuts are needed and not a rank for each row. The per-product summary feeds both
+    cuts and the result: staged.
     """
     rate = F.coalesce(
         F.when(F.col("gross_sales") > 0, quotient(F.col("total_returns"), F.col("gross_sales")) * 100),
         F.lit(0),
     )
-    summary = product_totals(daily, products).where(F.col("sale_count") >= min_sales).withColumn("rate", rate)
+    relevant = product_totals(daily, products).where(F.col("sale_count") >= min_sales)
+    summary = stage(relevant.withColumn("rate", rate), "product-summary")
     revenue_cut = top_fraction_cut(summary, "gross_sales", top_revenue).scalar()
     rate_cut = top_fraction_cut(summary, "rate", top_rate).scalar()
     return summary.where((F.col("gross_sales") >= revenue_cut) & (F.col("rate") >= rate_cut)).orderBy(

@@ -56,9 +56,10 @@ CATALOGUE_KEYWORDS = KeywordMap({
 def read_keyword_map(spark: SparkSession, path: str) -> KeywordMap:
     """Read ``{"categories": {name: [words]}, "default": name}``; the order of names is kept.
 
-    Read as a map, not with schema inference, which would sort the names. One small object.
+    Read as a map and returned as its entries: schema inference would sort the names, and a map
+    value loses its order on the way to Python. One small object.
     """
     schema = "categories map<string,array<string>>, `default` string"
     parsed = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("config"))
-    config = parsed.first()["config"]
-    return KeywordMap(dict(config["categories"]), config["default"] or DEFAULT_CATEGORY)
+    config = parsed.select(F.map_entries("config.categories").alias("entries"), "config.default").first()
+    return KeywordMap({e["key"]: e["value"] for e in config["entries"]}, config["default"] or DEFAULT_CATEGORY)
