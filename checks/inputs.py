@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.operators import categories, cleaning, dimensions, facts, ingest, rejects
 from tallyline.schemas import SOURCE1_COLUMNS, SOURCE2_COLUMNS
-from tallyline.session import prepare, stage
+from tallyline.session import prepare, spread, stage
 from tallyline.sources import lines as sources
 from tallyline.sources.keywords import KeywordMap
 from tallyline.operators.catalogue import build_catalogue
@@ -72,6 +72,7 @@ class Inputs:
     def _raw(self, text: str) -> DataFrame:
         tables = {t: self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet")
                   for t in ("lineitem", "orders", "customer", "part", "nation")}
+        tables["lineitem"] = spread(tables["lineitem"])
         named = RETAIL_BASE
         for table in tables:
             named = named.replace(f"FROM {table} ", f"FROM {{{table}}} ").replace(
@@ -99,13 +100,13 @@ class Inputs:
     def text(self) -> DataFrame:
         return self.text1.unionByName(self.text2)
 
-    @property
+    @cached_property
     def source1(self) -> DataFrame:
-        return sources.source1_lines(self.raw1)
+        return stage(sources.source1_lines(self.raw1), "source1")
 
-    @property
+    @cached_property
     def source2(self) -> DataFrame:
-        return sources.source2_lines(self.raw2)
+        return stage(sources.source2_lines(self.raw2), "source2")
 
     @property
     def combined(self) -> DataFrame:

@@ -29,13 +29,11 @@ def subtract_copies(df: DataFrame, taken: DataFrame) -> DataFrame:
     columns = df.columns
     signed = df.withColumn("_n", F.lit(1)).unionByName(taken.select(columns).withColumn("_n", F.lit(-1)))
     left = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n > 0")
-    once = left.where("_n = 1").select(columns)
-    many = left.where("_n > 1").withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), ((F.col("_n") - 1) / COPIES_PER_CHUNK).cast("long")))
-    )
-    size = F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
-    spread = many.repartition(*columns, "_chunk").withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
-    return once.unionByName(spread.select(columns))
+    last_chunk = ((F.col("_n") - 1) / COPIES_PER_CHUNK).cast("bigint")
+    chunks = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    copies = F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
+    spread = chunks.repartition(*columns, "_chunk")
+    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(columns)
 
 
 def weighted_mode(df: DataFrame, keys: list[str], value: str, weight: Column, out: str) -> DataFrame:

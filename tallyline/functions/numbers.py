@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import strip
@@ -13,11 +13,28 @@ _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 def to_number(text: Column) -> Column:
     """Decimal text to DOUBLE; anything that is not a finite number is null."""
-    stripped = strip(text)
-    value = F.when(stripped.rlike(_NUMBER), stripped.try_cast("double"))
+    return _finite(_parsed(strip(text)))
+
+
+def _parsed(stripped: Column) -> Column:
+    return F.when(stripped.rlike(_NUMBER), stripped.try_cast("double"))
+
+
+def _finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
+def with_numbers(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add ``to_number`` of text columns as ``{new name: text column}``.
+
+    Each step is its own projection: the expressions use their operand twice, and a projection
+    makes Spark compute it once per row.
+    """
+    stripped = df.withColumns({new: strip(F.col(old)) for new, old in columns.items()})
+    parsed = stripped.withColumns({new: _parsed(F.col(new)) for new in columns})
+    return parsed.withColumns({new: _finite(F.col(new)) for new in columns})
+
+
 def number_text(value: Column) -> Column:
     """Whole numbers without a fraction, others as they are."""
     whole = value.try_cast("bigint")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.schemas import BLANK_TOKENS, NA_TOKENS
@@ -32,10 +32,19 @@ def missing_to_null(text: Column) -> Column:
 
 def blank_to_null(text: Column) -> Column:
     """Strip, and turn blank texts into null."""
-    stripped = strip(text)
+    return _not_blank(strip(text))
+
+
+def _not_blank(stripped: Column) -> Column:
     return F.when(~stripped.isin(BLANK_TOKENS), stripped)
 
 
+def with_blank_to_null(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add ``blank_to_null`` of text columns as ``{new name: text column}``, stripping each once."""
+    stripped = df.withColumns({new: strip(F.col(old)) for new, old in columns.items()})
+    return stripped.withColumns({new: _not_blank(F.col(new)) for new in columns})
+
+
 def product_code(text: Column) -> Column:
     """Upper case without any white space."""
     return remove_whitespace(F.upper(text))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import dates
 from tallyline.functions.grouping import weighted_mode
-from tallyline.functions.numbers import to_number
-from tallyline.functions.text import blank_to_null, product_code
+from tallyline.functions.numbers import with_numbers
+from tallyline.functions.text import product_code, with_blank_to_null
 from tallyline.operators import dimensions, rejects
 from tallyline.operators.categories import assign_category
 from tallyline.schemas import (
@@ -28,19 +28,19 @@ RAW_TEXTS = ["product_code", "description", "customer_id"]
 
 
 def coerce_numbers(lines: DataFrame) -> DataFrame:
-    return lines.withColumns({name: to_number(F.col(name)) for name in ("quantity", "unit_price")})
+    return with_numbers(lines, {"quantity": "quantity", "unit_price": "unit_price"})
 
 
 def normalize_codes(lines: DataFrame) -> DataFrame:
     """``code_key`` is the stripped code (null if blank), ``product_code`` the normal form."""
-    return lines.withColumn("code_key", blank_to_null(F.col("product_code"))).withColumn(
+    return with_blank_to_null(lines, {"code_key": "product_code"}).withColumn(
         "product_code", product_code(F.col("code_key"))
     )
 
 
 def blank_descriptions(lines: DataFrame) -> DataFrame:
     """Strip descriptions and set blank ones to null, to be filled later."""
-    return lines.withColumn("description", blank_to_null(F.col("description")))
+    return with_blank_to_null(lines, {"description": "description"})
 
 
 def normalize_dates(lines: DataFrame) -> DataFrame:
@@ -52,9 +52,11 @@ def normalize_dates(lines: DataFrame) -> DataFrame:
 
 def normalize_customers(lines: DataFrame) -> DataFrame:
     """Blank -> ANONYMOUS, ``17850.0`` -> ``17850``, other texts stripped but unchanged."""
-    text = blank_to_null(F.col("customer_id"))
-    whole = to_number(text).try_cast("bigint").cast("string")
-    return lines.withColumn("customer_id", F.coalesce(whole, text, F.lit(ANONYMOUS)))
+    text = with_blank_to_null(lines, {"customer_id": "customer_id"})
+    whole = F.col("_customer_number").try_cast("bigint").cast("string")
+    return with_numbers(text, {"_customer_number": "customer_id"}).withColumn(
+        "customer_id", F.coalesce(whole, "customer_id", F.lit(ANONYMOUS))
+    ).drop("_customer_number")
 
 
 def tag_transaction_type(lines: DataFrame) -> DataFrame:

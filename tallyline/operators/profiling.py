@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import dates
-from tallyline.functions.numbers import percent, rounded, to_number
+from tallyline.functions.numbers import percent, rounded, with_numbers
 from tallyline.schemas import CANONICAL_COLUMNS
 
 _DATA_COLUMNS = [c for c in CANONICAL_COLUMNS if c != "source"]
@@ -46,7 +46,7 @@ def sample(lines: DataFrame, n: int = 30) -> DataFrame:
 
 
 def zero_price_sample(lines: DataFrame, n: int = 5) -> DataFrame:
-    zero = lines.where(to_number(F.col("unit_price")) == 0).orderBy(*file_order(lines)).limit(n)
+    zero = with_numbers(lines, {"p": "unit_price"}).where("p = 0").orderBy(*file_order(lines)).limit(n)
     return zero.select("invoice_no", "product_code", "description", "quantity", "unit_price")
 
 
@@ -61,8 +61,7 @@ def null_report(lines: DataFrame) -> DataFrame:
 
 
 def quantity_profile(lines: DataFrame) -> DataFrame:
-    q = to_number(F.col("quantity"))
-    counted = lines.withColumn("q", q).groupBy("source").agg(
+    counted = with_numbers(lines, {"q": "quantity"}).groupBy("source").agg(
         F.count("*").alias("total"), F.count_if(F.col("q") > 0).alias("sales"),
         F.count_if(F.col("q") <= 0).alias("returns"), F.count_if(F.col("q").isNull()).alias("not_numeric"),
         F.min("q").alias("lo"), F.max("q").alias("hi"),
@@ -82,10 +81,10 @@ def quantity_histogram(lines: DataFrame, low: int = -100, high: int = 200, sale_
     Values are first counted per distinct clipped quantity, so the lines are read once and the
     range and the bins come from that small table.
     """
-    q = F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), to_number(F.col("quantity"))))
+    clipped = F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), F.col("q")))
     kind = F.when(F.col("q") > 0, "sale").otherwise("return")
-    counted = lines.withColumn("q", F.when(to_number(F.col("quantity")).isNotNull(), q)).where(
-        "q IS NOT NULL").groupBy("source", "q").agg(F.count("*").alias("n")).withColumn("kind", kind)
+    counted = with_numbers(lines, {"q": "quantity"}).where("q IS NOT NULL").groupBy(
+        "source", clipped.alias("q")).agg(F.count("*").alias("n")).withColumn("kind", kind)
     ends = counted.groupBy("source", "kind").agg(F.min("q").alias("lo"), F.max("q").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     ends = ends.select(
@@ -113,7 +112,7 @@ def quantity_histogram(lines: DataFrame, low: int = -100, high: int = 200, sale_
 
 def price_profile(lines: DataFrame) -> DataFrame:
     p = F.col("p")
-    return lines.withColumn("p", to_number(F.col("unit_price"))).groupBy("source").agg(
+    return with_numbers(lines, {"p": "unit_price"}).groupBy("source").agg(
         F.count_if(p == 0).alias("zero_prices"), F.count_if(p < 0).alias("negative_prices"),
         F.count_if(p.isNull()).alias("null_prices"),
         rounded(F.min(p), 4).alias("min_price"), rounded(F.max(p), 2).alias("max_price"),

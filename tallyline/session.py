@@ -38,3 +38,12 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores where its files give fewer splits than there are cores.
+
+    A large table has many more splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
