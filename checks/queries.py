@@ -142,7 +142,7 @@ def _upserted_daily(i: Inputs) -> DataFrame:
 
 def _rerun(i: Inputs) -> DataFrame:
     """Load the same lines again: no new facts, and no change in the rollup."""
-    new = upserts.new_transactions(i.facts, facts.fact_transactions(i.valid))
+    new = stage(upserts.new_transactions(i.facts, facts.fact_transactions(i.valid)), "rerun")
     again = facts.daily_revenue(i.facts.unionByName(new))
     measures = [c for c in again.columns]
     changed = again.select(measures).exceptAll(i.daily.select(measures))

@@ -10,6 +10,7 @@ from tallyline.functions.ranking import number_rows
 from tallyline.functions.text import strip
 from tallyline.operators.categories import keyword_category
 from tallyline.schemas import CATALOGUE, SUPPLIER_COUNTRY
+from tallyline.session import stage
 from tallyline.sources.keywords import CATALOGUE_KEYWORDS, KeywordMap
 
 ACTIVE_DAYS = 180
@@ -21,8 +22,8 @@ def build_catalogue(lines: DataFrame, keywords: KeywordMap = CATALOGUE_KEYWORDS,
                     active_days: int = ACTIVE_DAYS) -> DataFrame:
     """One record per code from canonical lines; source 1 comes first when names tie.
 
-    Two partial aggregations, (code, name) then code; the latest date overall is one more
-    aggregate over the first of them.
+    Two partial aggregations, (code, name) then code. The first is staged: it also gives the
+    latest date overall.
     """
     if "line_order" in lines.columns:
         place = [F.col("line_order")]
@@ -35,8 +36,8 @@ def build_catalogue(lines: DataFrame, keywords: KeywordMap = CATALOGUE_KEYWORDS,
         dates.general_timestamp(F.col("invoice_date")).alias("ts"),
         F.struct(F.col("source"), *place).alias("place"),
     ).where("code IS NOT NULL AND code NOT IN ('', 'NAN')")
-    named = clean.groupBy("code", "name").agg(
-        F.count("*").alias("n"), F.min("place").alias("first"), F.max("ts").alias("last"))
+    named = stage(clean.groupBy("code", "name").agg(
+        F.count("*").alias("n"), F.min("place").alias("first"), F.max("ts").alias("last")), "code-names")
     best = F.min_by("name", F.struct(F.col("name").isNull(), -F.col("n"), F.col("first")))
     codes = named.groupBy("code").agg(best.alias("name"), F.max("last").alias("last"))
     cutoff = named.agg((F.max("last") - F.make_dt_interval(F.lit(active_days))).alias("cutoff")).scalar()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import dates
 from tallyline.functions.numbers import percent, rounded, with_numbers
 from tallyline.schemas import CANONICAL_COLUMNS
+from tallyline.session import stage
 
 _DATA_COLUMNS = [c for c in CANONICAL_COLUMNS if c != "source"]
 
@@ -78,13 +79,14 @@ def quantity_histogram(lines: DataFrame, low: int = -100, high: int = 200, sale_
                        return_bins: int = 20) -> DataFrame:
     """Clipped quantities in equal bins between the observed ends; the last bin is closed.
 
-    Values are first counted per distinct clipped quantity, so the lines are read once and the
-    range and the bins come from that small table.
+    Values are first counted per distinct clipped quantity and staged: the lines are read and
+    parsed once, and the ends and the bins come from that small table.
     """
-    clipped = F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), F.col("q")))
+    clipped = F.when(F.col("q").isNotNull(), F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), F.col("q"))))
     kind = F.when(F.col("q") > 0, "sale").otherwise("return")
-    counted = with_numbers(lines, {"q": "quantity"}).where("q IS NOT NULL").groupBy(
-        "source", clipped.alias("q")).agg(F.count("*").alias("n")).withColumn("kind", kind)
+    per_value = with_numbers(lines, {"q": "quantity"}).groupBy("source", clipped.alias("q")).agg(
+        F.count("*").alias("n"))
+    counted = stage(per_value, "quantities").where("q IS NOT NULL").withColumn("kind", kind)
     ends = counted.groupBy("source", "kind").agg(F.min("q").alias("lo"), F.max("q").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     ends = ends.select(
@@ -142,9 +144,11 @@ def source_overlap(lines: DataFrame) -> DataFrame:
 
 
 def monthly_counts(lines: DataFrame) -> DataFrame:
+    """Lines per month; lines without a date are left out after counting, so that the filter
+    does not make Spark parse every date a second time."""
     month = dates.month_of(dates.general_timestamp(F.col("invoice_date")))
-    return lines.withColumn("month", month).where("month IS NOT NULL").groupBy("source", "month").agg(
-        F.count("*").alias("n_lines"))
+    return lines.withColumn("month", month).groupBy("source", "month").agg(
+        F.count("month").alias("n_lines")).where("n_lines > 0")
 
 
 def customer_profile(lines: DataFrame) -> DataFrame:
@@ -186,7 +190,8 @@ def variants_of_top_code(lines: DataFrame, n: int = 8) -> DataFrame:
 def nonnumeric_codes(lines: DataFrame, examples: int = 10) -> DataFrame:
     """Lines whose code does not start with a digit (a missing code counts), with examples."""
     digit_first = F.coalesce(F.col("product_code").rlike(r"(?U)^\d"), F.lit(False))
-    per_code = lines.where(~digit_first).groupBy("product_code").agg(F.count("*").alias("n"))
+    per_code = stage(
+        lines.where(~digit_first).groupBy("product_code").agg(F.count("*").alias("n")), "nonnumeric-codes")
     total = per_code.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).scalar()
     return per_code.orderBy(F.col("product_code").asc_nulls_first()).limit(examples).select(
         F.col("product_code").alias("example"), "n", total.alias("nonnumeric_lines"))
@@ -209,7 +214,8 @@ def overlapping_invoices(lines: DataFrame) -> DataFrame:
 
 def country_profile(lines: DataFrame, n: int = 10) -> DataFrame:
     """Top countries by lines, with the number of distinct countries."""
-    per_country = lines.where("country IS NOT NULL").groupBy("country").agg(F.count("*").alias("n_lines"))
+    per_country = stage(
+        lines.where("country IS NOT NULL").groupBy("country").agg(F.count("*").alias("n_lines")), "countries")
     distinct = per_country.agg(F.count("*").alias("d")).scalar()
     return per_country.orderBy(F.desc("n_lines"), "country").limit(n).select(
         "country", "n_lines", distinct.alias("distinct_countries"))

@@ -1,5 +1,8 @@
-"""Figures derived from the business results. Inputs are grouped already: months, categories,
-countries or customer types, never lines."""
+"""Figures derived from the business results.
+
+Inputs are grouped already: months, categories, countries, products or customer types, never
+lines. Where a function reads its input twice it stages it, so the grouping runs once.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +11,14 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import percent, quotient, ratio, rounded
 from tallyline.schemas import NO_DESCRIPTION
+from tallyline.session import stage
 
 _MONTH_NUMBER = "year * 12 + month"
 
 
 def _change(months: DataFrame, distance: int, name: str) -> DataFrame:
     """Net sales against the month ``distance`` months earlier; months may be missing."""
+    months = stage(months, "months")
     now = months.select("year", "month", F.expr(_MONTH_NUMBER).alias("at"), F.col("net_revenue").alias("net"))
     before = months.select((F.expr(_MONTH_NUMBER) + distance).alias("at"), F.col("net_revenue").alias("earlier"))
     return now.join(before, "at").select(
@@ -42,6 +47,7 @@ def season_share(months: DataFrame, season: tuple[int, ...] = (10, 11, 12)) -> D
 
 def return_rate_vs_average(months: DataFrame) -> DataFrame:
     """Return rate of each month over the rate of all months."""
+    months = stage(months, "months")
     overall = months.agg(quotient(F.sum("total_returns"), F.sum("gross_sales")).alias("r")).scalar()
     rate = quotient(F.col("total_returns"), F.col("gross_sales"))
     return months.select("year", "month", rounded(rate * 100).alias("pct_devolucion"),
@@ -63,6 +69,7 @@ def anonymous_share(types: DataFrame) -> DataFrame:
 
 def ticket_vs_home(by_country: DataFrame, home: str) -> DataFrame:
     """Ticket of each country over the ticket of the home country."""
+    by_country = stage(by_country, "countries")
     ticket = quotient(F.col("revenue"), F.col("num_facturas")).cast("double")
     at_home = by_country.where(F.col("country") == home).select(ticket.alias("t")).scalar()
     return by_country.select(
@@ -91,6 +98,7 @@ def described_share(products: DataFrame) -> DataFrame:
 
 def category_rate_ratio(categories: DataFrame, base: str) -> DataFrame:
     """Return rate of each category over the rate of the base category."""
+    categories = stage(categories, "categories")
     rate = quotient(F.col("total_returns"), F.col("gross_sales")).cast("double")
     base_rate = categories.where(F.col("category") == base).select(rate.alias("r")).scalar()
     return categories.select("category", rounded(rate * 100).alias("pct_devolucion"),
