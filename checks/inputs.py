@@ -118,7 +118,8 @@ class Inputs:
 
     @property
     def duplicates(self) -> DataFrame:
-        return ingest.duplicate_lines(self.combined)
+        lines = self.combined
+        return ingest.duplicate_lines(lines, cleaning.raw_lines(self.checked, lines.columns))
 
     @cached_property
     def checked(self) -> DataFrame:

@@ -88,7 +88,7 @@ def _both_category_modes(i: Inputs) -> DataFrame:
 
 
 def _transformation(i: Inputs) -> DataFrame:
-    result = cleaning.run_transformation(i.unique, i.duplicates, KEYWORDS)
+    result = cleaning.run_transformation(i.combined, KEYWORDS)
     outputs = {"valid": result.lines, "products": result.products, "customers": result.customers,
                "rejected": result.rejected}
     return rejects.table_counts(outputs).select(F.col("table_name").alias("output"), F.col("n").alias("n_rows"))

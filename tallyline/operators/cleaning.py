@@ -15,7 +15,7 @@ from tallyline.functions import dates
 from tallyline.functions.grouping import weighted_mode
 from tallyline.functions.numbers import with_numbers
 from tallyline.functions.text import product_code, with_blank_to_null
-from tallyline.operators import dimensions, rejects
+from tallyline.operators import dimensions, ingest, rejects
 from tallyline.operators.categories import assign_category
 from tallyline.schemas import (
     ANONYMOUS, BAD_DATE, BAD_PRICE, NO_CODE, NO_DESCRIPTION, NOT_NUMERIC, RETURN, SALE,
@@ -24,7 +24,7 @@ from tallyline.schemas import (
 from tallyline.session import stage
 from tallyline.sources.keywords import PIPELINE_KEYWORDS, KeywordMap
 
-RAW_TEXTS = ["product_code", "description", "customer_id"]
+RAW_TEXTS = ["product_code", "description", "quantity", "unit_price", "customer_id"]
 
 
 def coerce_numbers(lines: DataFrame) -> DataFrame:
@@ -87,12 +87,13 @@ def reject_reason(lines: DataFrame) -> DataFrame:
 
 
 def check_lines(unique: DataFrame) -> DataFrame:
-    """All rules in order. One narrow projection: no shuffle, whole-stage code generation.
+    """All rules in order. Only narrow projections: no shuffle, whole-stage code generation.
 
-    Raw texts are kept beside the cleaned ones for rejected lines only.
+    Raw texts are kept beside the cleaned ones, so the unique lines can be read back from the
+    result and need not be found a second time for the duplicates log.
     """
     raw = unique.withColumns({f"{name}_raw": F.col(name) for name in RAW_TEXTS})
-    checked = (
+    return (
         raw.transform(coerce_numbers)
         .transform(normalize_codes)
         .transform(blank_descriptions)
@@ -101,11 +102,15 @@ def check_lines(unique: DataFrame) -> DataFrame:
         .transform(tag_transaction_type)
         .transform(gross_revenue)
         .transform(reject_reason)
+        .withColumn("accepted", F.col("reject_reason").isNull())
     )
-    rejected = F.col("reject_reason").isNotNull()
-    return checked.withColumns(
-        {f"{name}_raw": F.when(rejected, F.col(f"{name}_raw")) for name in RAW_TEXTS}
-    ).withColumn("accepted", ~rejected)
+
+
+def raw_lines(checked: DataFrame, columns: list[str]) -> DataFrame:
+    """The unique lines as they came in."""
+    return checked.select(*[
+        F.col(f"{name}_raw").alias(name) if name in RAW_TEXTS else F.col(name) for name in columns
+    ])
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -153,11 +158,14 @@ class Cleaned:
     rejected: DataFrame
 
 
-def run_transformation(unique: DataFrame, duplicates: DataFrame | None = None,
-                       keywords: KeywordMap = PIPELINE_KEYWORDS,
+def run_transformation(lines: DataFrame, keywords: KeywordMap = PIPELINE_KEYWORDS,
                        catalogue: DataFrame | None = None) -> Cleaned:
-    """The whole chain. The checked lines and the fill names are read several times: staged."""
-    checked = stage(check_lines(unique), "checked", ["accepted"])
+    """The whole chain from combined lines.
+
+    The checked lines and the fill names are read several times: staged.
+    """
+    checked = stage(check_lines(ingest.unique_lines(lines)), "checked", ["accepted"])
+    duplicates = ingest.duplicate_lines(lines, raw_lines(checked, lines.columns))
     names = stage(fill_names(checked), "fill-names")
     products = assign_category(canonical_names(checked, names), keywords, catalogue)
     return Cleaned(

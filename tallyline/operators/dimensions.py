@@ -19,6 +19,13 @@ def products(named: DataFrame) -> DataFrame:
     return named.select("product_code", "canonical_name", "category").dropDuplicates(["product_code"])
 
 
+def with_activity(products: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Set ``is_active`` from the catalogue record of the same code; other products keep theirs."""
+    known = catalogue.select(F.col("code").alias("product_code"), F.col("is_active").alias("_active"))
+    return products.join(known, "product_code", "left").withColumn(
+        "is_active", F.coalesce("_active", "is_active")).drop("_active")
+
+
 def calendar(spark: SparkSession, first: str = "2009-01-01", last: str = "2012-12-31") -> DataFrame:
     """One row per day. Weeks are ISO weeks, day 0 is Monday."""
     days = spark.range(1).select(

@@ -16,13 +16,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_private_folders: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster; a private one only where none is configured."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    application = spark.sparkContext.applicationId
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _private_folders.get(application)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="tallyline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/tallyline/{spark.sparkContext.applicationId}"
+        shared = _private_folders[application] = tempfile.mkdtemp(prefix="tallyline-")
+    return f"{shared.rstrip('/')}/tallyline/{application}"
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from checks.inputs import inputs
 from checks.queries import queries
 from tallyline.functions import grouping
+from tallyline.plans import business
 from tallyline.functions.grouping import keep_first, subtract_copies, weighted_mode
 from tallyline.functions.ranking import number_rows, percent_rank_desc, top_fraction_cut
 
@@ -91,6 +92,52 @@ def test_rule_chain_does_not_shuffle(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = plan_of(queries()["q4_countries"](spark, SF_DIR))
+    plan = plan_of(business.country_totals(inputs(spark, SF_DIR).facts))
     assert "EqualTo(transaction_type,SALE)" in plan
     assert "source_row_hash" not in plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as on large tables, with thresholds that make the test data large."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def hot_key():
+    return F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), (F.xxhash64("id") % 5000).cast("string")))
+
+
+def final_plan(df):
+    df.collect()
+    return plan_of(df).split("Initial Plan")[0]
+
+
+def test_hot_keys_of_joins_are_split(spark, no_broadcast):
+    from tallyline.operators.cleaning import fill_description
+    from tallyline.plans.business import customer_type_totals
+    from tallyline.session import stage
+
+    base = spark.range(0, 400_000, 1, 16)
+    lines = stage(base.select(hot_key().alias("code_key"), F.col("id").alias("invoice_no"),
+                              F.when(F.col("id") % 2 == 0, F.concat(F.lit("D"), F.col("id"))).alias("description")), "hot-lines")
+    names = stage(lines.groupBy("code_key").agg(F.max("description").alias("fill_name")), "hot-names")
+    filled = fill_description(lines, names).agg(F.count("*").alias("n"), F.max("description").alias("d"))
+    assert "skew=true" in final_plan(filled)
+    assert filled.first().n == 400_000
+
+    sold = stage(base.select(hot_key().alias("customer_id"), F.concat(F.lit("I"), F.col("id")).alias("invoice_no"),
+                             F.lit("SALE").alias("transaction_type"), F.lit(1).cast("decimal(14,4)").alias("gross_revenue")), "hot-facts")
+    known = stage(sold.select("customer_id").distinct().withColumn("is_anonymous", F.col("customer_id") == "HOT"), "hot-customers")
+    totals = customer_type_totals(sold, known)
+    assert "skew=true" in final_plan(totals)
+    assert {r.is_anonymous: r.num_facturas for r in totals.collect()} == {True: 133_334, False: 266_666}
