@@ -1,7 +1,8 @@
 """Headline timings as one JSON line.
 
-``raw_to_q1`` is the whole chain, cold: raw lines -> unique -> checked -> facts -> rollup -> monthly
-net sales. The other entries run on the tables that it prepared. Every result is fully computed
+``raw_to_q1`` is the whole chain: raw lines -> unique -> checked -> facts -> rollup -> monthly net
+sales; ``raw_to_q1_again`` repeats it from the raw lines in the same, now warm JVM. The other entries
+run on the tables that the first one prepared. Every result is fully computed
 and thrown away (noop sink).
 """
 
@@ -50,16 +51,20 @@ def main() -> None:
     stages = {"stage_raw_exports": timed(lambda: (data.raw1, data.raw2))}
     lines = data.raw1.count() + data.raw2.count()
 
-    def noop(name: str) -> None:
-        plain(_QUERIES[name](data)).write.format("noop").mode("overwrite").save()
+    def noop(name: str, inputs: Inputs = data) -> None:
+        plain(_QUERIES[name](inputs)).write.format("noop").mode("overwrite").save()
 
     stages["raw_to_q1"] = timed(lambda: noop("q1_monthly_net_sales"))
+    again = Inputs(spark, sf_dir)
+    again.raw1, again.raw2 = data.raw1, data.raw2
+    stages["raw_to_q1_again"] = timed(lambda: noop("q1_monthly_net_sales", again))
     stages["stage_dimensions"] = timed(lambda: (data.products, data.customers))
     times = {name: timed(lambda: noop(name)) for name in HEADLINE}
     print(json.dumps({
         "metric": "headline_total_seconds", "value": round(sum(times.values()) + sum(stages.values()), 3),
         "unit": "sec", "queries": {**stages, **times}, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "raw_lines": lines, "records_per_sec_raw_to_q1": round(lines / stages["raw_to_q1"]),
+        "records_per_sec_raw_to_q1_again": round(lines / stages["raw_to_q1_again"]),
     }))
 
 

@@ -13,8 +13,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # Tables split into few partitions are written without sorting the rows first.
-    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
+    # Two open files per task: accepted and rejected lines are written without sorting them first.
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
     return spark
 
 

@@ -19,3 +19,10 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_sql(spark, connection, name):
     assert difference(spark, SF_DIR, name, connection) is None
+
+
+def test_flagship_entry(spark):
+    import __spark_entry__
+
+    result = __spark_entry__.entry(spark)
+    assert result.count() > 0 and result.columns[:4] == ["year", "month", "month_name", "periodo"]

@@ -51,6 +51,17 @@ def test_reading(spark, exports):
     assert [r.source for r in read_source2(spark, exports[1]).collect()] == ["source2"] * 3
 
 
+def test_byte_order_mark_and_folders(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    for part, number in (("b.csv", 2), ("a.csv", 1)):
+        (folder / part).write_bytes(b"\xef\xbb\xbf" + SOURCE2.replace("11,X1", f"{number},X1").encode("utf-8"))
+    lines = read_source2(spark, str(folder))
+    assert lines.count() == 6
+    in_order = [r.invoice_no for r in lines.where("product_code = 'X1'").orderBy("line_order").collect()]
+    assert in_order == ["1", "2"]  # by file name, not by the order of the splits
+
+
 def test_run_and_rerun(spark, exports, tmp_path):
     root = str(tmp_path / "warehouse")
     counts = run(spark, *exports, root, "run-a", "2011-12-09")
