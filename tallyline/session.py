@@ -22,10 +22,16 @@ _private_folders: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a private one only where none is configured."""
+    """Shared folder named by the cluster in ``spark.checkpoint.dir``.
+
+    Without that setting a private folder is made, but only where all tasks run in this process:
+    executors on other machines could not see it, so on a cluster the setting is required.
+    """
     application = spark.sparkContext.applicationId
     shared = spark.conf.get("spark.checkpoint.dir", None) or _private_folders.get(application)
     if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = _private_folders[application] = tempfile.mkdtemp(prefix="tallyline-")
     return f"{shared.rstrip('/')}/tallyline/{application}"
 
@@ -43,12 +49,3 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores where its files give fewer splits than there are cores.
-
-    A large table has many more splits than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
