@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.bpe import bpe_decode, bpe_encode
+from tallyline.llm.embedding_dedup import near_vectors
 from tallyline.llm.minhash_dedup import near_duplicates
 from tallyline.llm.packing import pack
 from tallyline.llm.token_counts import token_counts
@@ -25,6 +26,10 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_codec": op2_bpe_codec,
+        "op3_embedding_dedup": op3_embedding_dedup,
         "op5_minhash_dedup": op5_minhash_dedup,
         "op6_token_counts": op6_token_counts,
         "op8_packing": op8_packing,
