@@ -13,6 +13,7 @@ from tallyline.llm.embedding_dedup import near_vectors
 from tallyline.llm.minhash_dedup import near_duplicates
 from tallyline.llm.packing import pack
 from tallyline.llm.token_counts import token_counts
+from tallyline.llm.toxicity import held_out, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,12 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "evidence")
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_codec": op2_bpe_codec,
         "op3_embedding_dedup": op3_embedding_dedup,
+        "op4_toxicity": op4_toxicity,
         "op5_minhash_dedup": op5_minhash_dedup,
         "op6_token_counts": op6_token_counts,
         "op8_packing": op8_packing,
