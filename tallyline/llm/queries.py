@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.bpe import bpe_decode, bpe_encode
 from tallyline.llm.embedding_dedup import near_vectors
+from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.minhash_dedup import near_duplicates
 from tallyline.llm.packing import pack
 from tallyline.llm.token_counts import token_counts
@@ -20,6 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(_table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return cleaned.select("doc_id", F.length(text).cast("long").alias("n_chars_left"), F.sha2(text, 256).alias("text_sha256"))
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     decoded = bpe_decode(bpe_encode(_table(spark, sf_dir, "documents"), path), path)
@@ -54,6 +61,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_bpe_codec": op2_bpe_codec,
         "op3_embedding_dedup": op3_embedding_dedup,
         "op4_toxicity": op4_toxicity,
@@ -63,5 +71,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# Units by their text instead of hashes: a line, or three lines with a break between them.
+OP1_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
+  FROM documents),
+kept AS (
+  SELECT doc_id, n, trim(line, E' \\t\\r\\v\\f') AS line,
+         row_number() OVER (PARTITION BY doc_id ORDER BY n) AS place
+  FROM lines WHERE trim(line, E' \\t\\r\\v\\f') <> ''),
+units AS (
+  SELECT doc_id, place, 3 AS lines, n AS a, lead(n, 2) OVER w AS b,
+         line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS unit
+  FROM kept WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+  UNION ALL
+  SELECT doc_id, place, 1, n, n, line FROM kept WHERE len(regexp_extract_all(line, '[^ \\t\\r\\v\\f]+')) >= 50),
+placed AS (
+  SELECT *, first_value(doc_id) OVER f AS d1, first_value(place) OVER f AS p1
+  FROM units WHERE unit IS NOT NULL WINDOW f AS (PARTITION BY unit, lines ORDER BY doc_id, place)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS n FROM placed
+  WHERE doc_id > d1 OR (doc_id = d1 AND place >= p1 + lines)),
+rest AS (
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.n) AS text
+  FROM lines l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.n = g.n GROUP BY l.doc_id)
+SELECT d.doc_id, length(coalesce(r.text, '')) AS n_chars_left, sha256(coalesce(r.text, '')) AS text_sha256
+FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": OP1_SQL}
