@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,7 +15,10 @@ from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.minhash_dedup import near_duplicates
 from tallyline.llm.packing import pack
 from tallyline.llm.token_counts import token_counts
+from tallyline.llm.token_files import read_token_files, write_token_files
 from tallyline.llm.toxicity import held_out, toxicity
+from tallyline.llm.url_filter import judge_urls
+from tallyline.session import staging_root
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +63,38 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+                                   ("org", "/fr/", "allow")], "host string, path string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+# The longest rule that fits, written as a case of rules from long to short.
+OP7_SQL = r"""
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, '.' || host AS h, CASE
+    WHEN '.' || host LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN '.' || host LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN '.' || host LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN '.' || host LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM parts)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{staging_root(spark)}/token-files-{uuid.uuid4().hex[:12]}"
+    write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -67,7 +103,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_minhash_dedup": op5_minhash_dedup,
         "op6_token_counts": op6_token_counts,
+        "op7_url_filter": op7_url_filter,
         "op8_packing": op8_packing,
+        "op9_token_files": op9_token_files,
     }
 
 
@@ -101,4 +139,4 @@ FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op7_url_filter": OP7_SQL}
