@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_url_filter": op7_url_filter,
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
+        "pipeline": corpus_pipeline.run,
     }
 
 
