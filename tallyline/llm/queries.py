@@ -17,6 +17,7 @@ from tallyline.llm.minhash_dedup import near_duplicates
 from tallyline.llm.packing import pack
 from tallyline.llm.token_counts import token_counts
 from tallyline.llm.token_files import read_token_files, write_token_files
+from tallyline.llm.topk_search import top_k
 from tallyline.llm.toxicity import held_out, toxicity
 from tallyline.llm.url_filter import judge_urls
 from tallyline.session import staging_root
@@ -96,6 +97,23 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+OP10_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -107,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_url_filter": op7_url_filter,
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
+        "op10_topk_search": op10_topk_search,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -141,4 +160,4 @@ FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op7_url_filter": OP7_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op7_url_filter": OP7_SQL, "op10_topk_search": OP10_SQL}
