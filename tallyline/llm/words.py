@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ CACHED_WORDS = 400_000
 
 # Below U+0180, without one letter that lower-cases out of that range, lower-casing and the letter
 # and number classes are the same in every Unicode version, and NFC changes nothing.
-_PLAIN = re.compile(r"[^\x00-ſ]|İ")
+_ODD = r"[^!-~\xa0-ſ]|İ"
 _PIECES = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]"
     r"|[^\t-\r \x85\xa00-9²³¹¼½¾a-zªµºß-öø-ſ]+")
@@ -41,7 +42,9 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         rules = json.loads(self.tokenizer.to_str())
-        self.specials = [t["content"].encode() for t in rules["added_tokens"]]
+        # Words that only the library may split: other characters, or a special string inside.
+        self.odd = re.compile("|".join([_ODD, *[re.escape(t["content"]) for t in rules["added_tokens"]]]))
+        self.packed = struct.Struct("<H" if self.dtype.itemsize == 2 else "<I").pack
         steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
         split = steps[0] if steps else {}
         # The word rules of _PIECES hold for this shape; any other tokenizer gets whole texts.
@@ -61,18 +64,19 @@ class WordIds(dict):
             if len(self.pieces) >= CACHED_WORDS:
                 self.pieces.clear()
             written = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
-            ids = [t.id for t in self.tokenizer.model.tokenize(written)]
-            found = self.pieces[piece] = np.array(ids, self.dtype).tobytes()
+            packed = self.packed
+            found = self.pieces[piece] = b"".join([packed(t.id) for t in self.tokenizer.model.tokenize(written)])
         return found
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
         text = word.decode()
-        if _PLAIN.search(text) or any(c < " " or c == "\x7f" for c in text) or any(s in word for s in self.specials):
+        if self.odd.search(text):
             ids = self._library(text)
         else:
-            ids = b"".join([self._piece(p) for p in _PIECES.findall(text.lower())])
+            text = text.lower()
+            ids = self._piece(text) if text.isalpha() else b"".join([self._piece(p) for p in _PIECES.findall(text)])
         self[word] = ids
         return ids
 
