@@ -130,6 +130,21 @@ class BpeAutomaton:
         return path
 
 
+def _bytes_of(shown: str, byte_of: dict[str, int]) -> bytes:
+    return bytes([byte_of[c] for c in shown])
+
+
+def arc_labels(rules: dict) -> dict[int, bytes]:
+    """Bytes of every id of a byte-level vocabulary, special strings included. Decoding needs no more."""
+    byte_of = {c: b for b, c in enumerate(byte_alphabet())}
+    labels = {i: _bytes_of(t, byte_of) for t, i in rules["model"]["vocab"].items()}
+    return labels | {t["id"]: t["content"].encode() for t in rules["added_tokens"]}
+
+
+def spelled(labels: dict[int, bytes], ids: np.ndarray) -> str:
+    return b"".join(map(labels.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
 class BpeCodec(dict):
     """Whole texts to ids and back. As a dict: chunk -> its ids as 16- or 32-bit little-endian bytes."""
 
@@ -144,17 +159,17 @@ class BpeCodec(dict):
             raise ValueError("a byte-level BPE vocabulary without normalizer is needed")
         self.byte_of = {c: b for b, c in enumerate(byte_alphabet())}
         ids = model["vocab"]
-        labels = {i: self._bytes(t) for t, i in ids.items()}
+        self.labels = arc_labels(rules)
+        labels = {i: self.labels[i] for i in ids.values()}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.automaton = BpeAutomaton(labels, [(ids[a], ids[b], ids[a + b]) for a, b in pairs])
         self.special = {t["content"].encode(): t["id"] for t in rules["added_tokens"]}
-        self.labels = labels | {i: t for t, i in self.special.items()}
         self.cut = re.compile(b"(" + b"|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + b")")
         self.dtype = np.dtype("<u2" if max(self.labels) < 1 << 16 else "<u4")
         self.pieces: dict[bytes, bytes] = {}
 
     def _bytes(self, shown: str) -> bytes:
-        return bytes([self.byte_of[c] for c in shown])
+        return _bytes_of(shown, self.byte_of)
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CACHED_WORDS:
@@ -186,7 +201,7 @@ class BpeCodec(dict):
         return np.frombuffer(ids, self.dtype).astype("<u4")
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.labels.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return spelled(self.labels, ids)
 
 
 _known: dict[str, BpeCodec] = {}
@@ -226,9 +241,10 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(path)
+        with open(path, encoding="utf-8") as file:
+            labels = arc_labels(json.load(file))
         for batch in batches:
-            rows = [tool.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in batch.column("ids")]
+            rows = [spelled(labels, np.frombuffer(x.as_py() or b"", "<u4")) for x in batch.column("ids")]
             yield batch.append_column("decoded", pa.array(rows, pa.string()))
     return run
 
