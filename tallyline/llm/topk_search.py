@@ -134,7 +134,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     keys = ["size", "block", "group"]
 
     def searched(blocks_of_queries: DataFrame, some: Column) -> DataFrame:
-        return candidates.where(some).groupBy(*keys).cogroup(blocks_of_queries.groupBy(*keys)).applyInPandas(
+        renamed = blocks_of_queries.toDF(*blocks_of_queries.columns)  # both sides come from the same rows
+        return candidates.where(some).groupBy(*keys).cogroup(renamed.groupBy(*keys)).applyInPandas(
             _best(k), "query long, id long, score long")
 
     first = staged(searched(dealt.withColumns({"block": F.lit(0).cast("long"), "floor": F.lit(None).cast("double")}),
