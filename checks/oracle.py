@@ -5,9 +5,6 @@ from __future__ import annotations
 from checks.inputs import (
     FIRST_DAY, HOME_COUNTRY, KEYWORDS, LAST_DAY, RAW_SOURCE1, RAW_SOURCE2, RETAIL_BASE,
 )
-from tallyline.schemas import (
-    ALERT_TEXT, FOREIGN_KEYS, MAX_LENGTHS, NOT_NULL, PRIMARY_KEYS,
-)
 from tallyline.sources.keywords import CATALOGUE_KEYWORDS, PIPELINE_KEYWORDS, KeywordMap
 
 
@@ -20,15 +17,15 @@ def _case(column: str, words: KeywordMap) -> str:
 
 
 def _money(expr: str) -> str:
-    return f"CAST(ROUND({expr}, 2) AS DECIMAL(18,2))"
+    return f"CAST(ROUND({expr}, 2) AS DECIMAL(38,2))"
 
 
 def _pct(part: str, total: str, digits: int = 2) -> str:
-    return f"CAST(ROUND(CAST({part} AS DOUBLE) / NULLIF({total}, 0) * 100, {digits}) AS DECIMAL(18,{digits}))"
+    return f"CAST(ROUND(CAST({part} AS DOUBLE) / NULLIF({total}, 0) * 100, {digits}) AS DECIMAL(38,{digits}))"
 
 
 def _ratio(part: str, total: str) -> str:
-    return f"CAST(ROUND(CAST({part} AS DOUBLE) / NULLIF({total}, 0), 2) AS DECIMAL(18,2))"
+    return f"CAST(ROUND(CAST({part} AS DOUBLE) / NULLIF({total}, 0), 2) AS DECIMAL(38,2))"
 
 
 def _int(expr: str) -> str:
@@ -45,6 +42,35 @@ _TS = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 _PARSE = ("coalesce(try_strptime({0}, '%m/%d/%Y %H:%M'), try_strptime({0}, '%Y-%m-%d %H:%M:%S'))")
 _UTC = _TS.format("invoice_ts") + " || '+00:00'"
 
+# Declared constraints of the warehouse, written out: the lists that the library checks must equal these.
+ALERT_TEXT = "⚠️ Alto revenue + alta devolución"
+PRIMARY_KEYS = {
+    "dim_products": ["product_code"], "dim_customers": ["customer_id"], "dim_date": ["date_id"],
+    "fact_transactions": ["source_row_hash"], "fact_daily_revenue": ["date_id", "product_code", "country"],
+    "log_pipeline_runs": ["run_id"],
+}
+FOREIGN_KEYS = [
+    ("fact_transactions", "product_code", "dim_products"), ("fact_transactions", "customer_id", "dim_customers"),
+    ("fact_transactions", "date_id", "dim_date"), ("fact_daily_revenue", "date_id", "dim_date"),
+    ("fact_daily_revenue", "product_code", "dim_products"),
+]
+NOT_NULL = {
+    "dim_products": ["product_code"], "dim_customers": ["customer_id"],
+    "dim_date": ["date_id", "year", "quarter", "month", "month_name", "week_of_year", "day_of_month", "day_of_week", "day_name", "is_weekend"],
+    "fact_transactions": ["invoice_no", "product_code", "customer_id", "transaction_date", "date_id", "quantity", "unit_price",
+                          "gross_revenue", "transaction_type", "source", "source_row_hash"],
+    "fact_daily_revenue": ["date_id", "product_code", "country"],
+    "log_rejected_records": ["source", "rejection_reason"], "log_pipeline_runs": ["run_id"],
+}
+MAX_LENGTHS = {
+    "dim_products": {"product_code": 30, "canonical_name": 500, "category": 100}, "dim_customers": {"customer_id": 20},
+    "dim_date": {"month_name": 20, "day_name": 20},
+    "fact_transactions": {"invoice_no": 30, "product_code": 30, "customer_id": 20, "country": 100, "transaction_type": 10,
+                          "source": 50, "source_row_hash": 64},
+    "fact_daily_revenue": {"product_code": 30, "country": 100},
+    "log_rejected_records": {"source": 50, "invoice_no": 30, "product_code": 30},
+    "log_pipeline_runs": {"run_id": 200, "dag_run_id": 200, "status": 20},
+}
 _CTES = {
     "retail_base": RETAIL_BASE,
     "raw1": RAW_SOURCE1.replace("`", '"'),
@@ -103,8 +129,8 @@ _CTES = {
         {_number_text('quantity')} || '|' || {_UTC} || '|' || source) AS source_row_hash FROM valid""",
     "facts": """SELECT * EXCLUDE (r) FROM (
         SELECT invoice_no, product_code, customer_id, invoice_ts AS transaction_date, date_id,
-        CAST(trunc(quantity) AS INT) AS quantity, CAST(unit_price AS DECIMAL(12,4)) AS unit_price,
-        CAST(gross_revenue AS DECIMAL(14,4)) AS gross_revenue, country, transaction_type, source,
+        CAST(trunc(quantity) AS BIGINT) AS quantity, CAST(unit_price AS DECIMAL(24,4)) AS unit_price,
+        CAST(gross_revenue AS DECIMAL(28,4)) AS gross_revenue, country, transaction_type, source,
         source_row_hash, row_number() OVER (PARTITION BY source_row_hash ORDER BY invoice_no) AS r
         FROM hashed) WHERE r = 1""",
     "daily": """SELECT date_id, product_code, country,
@@ -209,14 +235,14 @@ _Q5 = f"""SELECT {{}} CASE WHEN is_anonymous THEN 'Sin cliente' ELSE 'Identifica
     FROM per_type ORDER BY is_anonymous"""
 _Q7 = f"""SELECT {_PRODUCT_COLUMNS}, {_money('g')} AS revenue_bruto, {_money('r')} AS monto_devuelto,
     {_money('n')} AS revenue_neto, {_int('sales')} AS num_ventas, {_int('backs')} AS num_devoluciones,
-    CAST(ROUND(rate, 2) AS DECIMAL(18,2)) AS tasa_devolucion_pct {{}} FROM critical
-    ORDER BY g DESC, product_code {{}}"""
+    CAST(ROUND(rate, 2) AS DECIMAL(38,2)) AS tasa_devolucion_pct {{}} FROM critical
+    ORDER BY revenue_bruto DESC, product_code {{}}"""
 _FACT_COLUMNS = """invoice_no, product_code, customer_id,
     strftime(transaction_date, '%Y-%m-%d %H:%M:%S') AS transaction_date, date_id, quantity,
-    CAST(unit_price AS DECIMAL(18,4)) AS unit_price, CAST(gross_revenue AS DECIMAL(18,4)) AS gross_revenue,
+    CAST(unit_price AS DECIMAL(38,4)) AS unit_price, CAST(gross_revenue AS DECIMAL(38,4)) AS gross_revenue,
     country, transaction_type, source, source_row_hash"""
-_DAILY_COLUMNS = f"""date_id, product_code, country, CAST(gross_sales AS DECIMAL(18,4)) AS gross_sales,
-    CAST(total_returns AS DECIMAL(18,4)) AS total_returns, CAST(net_revenue AS DECIMAL(18,4)) AS net_revenue,
+_DAILY_COLUMNS = f"""date_id, product_code, country, CAST(gross_sales AS DECIMAL(38,4)) AS gross_sales,
+    CAST(total_returns AS DECIMAL(38,4)) AS total_returns, CAST(net_revenue AS DECIMAL(38,4)) AS net_revenue,
     {_int('sale_quantity')} AS sale_quantity, {_int('return_quantity')} AS return_quantity,
     sale_count, return_count"""
 _ORDERED_TEXT = ("ORDER BY invoice_no NULLS LAST, product_code NULLS LAST, description NULLS LAST, "
@@ -238,7 +264,7 @@ def _nulls() -> str:
                "customer_id", "country"]
     return "SELECT * FROM (" + " UNION ALL ".join(
         f"""SELECT source, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
-        CAST(round_even(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 2) AS DECIMAL(18,2)) AS pct
+        CAST(round_even(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 2) AS DECIMAL(38,2)) AS pct
         FROM texts GROUP BY source""" for c in columns) + ") WHERE nulls > 0"
 
 
@@ -261,10 +287,20 @@ def oracle_sql() -> dict[str, str]:
         # sources and ingestion
         "src1_canonical": canonical.format("source1"),
         "src2_canonical": canonical.format("source2"),
-        "yearly_union": """SELECT sheet, CAST(sheet + 1995 AS INT) AS sheet_year,
+        "yearly_union": """SELECT CAST(dense_rank() OVER (ORDER BY sheet_year NULLS LAST) - 1 AS INT) AS sheet, sheet_year,
             count(*) AS n_lines, min(invoice_date) AS first_date, max(invoice_date) AS last_date FROM (
-              SELECT invoice_date, CAST(CAST(substr(invoice_date, 1, 4) AS INT) - 1995 AS INT) AS sheet
-              FROM combined WHERE source = 'source2' AND invoice_date IS NOT NULL) GROUP BY 1, 2""",
+              SELECT invoice_date, CAST(substr(invoice_date, 1, 4) AS INT) AS sheet_year
+              FROM combined WHERE source = 'source2') GROUP BY sheet_year""",
+        "csv_roundtrip": f"""SELECT * REPLACE (CASE WHEN product_code LIKE '%7' THEN 'a "b", ' || description || chr(10) || 'c'
+              WHEN product_code LIKE '%5' THEN NULL ELSE description END AS description)
+            FROM (SELECT {_LINE_COLUMNS} FROM combined)""",
+        "mixed_date_layouts": """SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 7 IN (4, 5) THEN CAST(o_orderdate AS TIMESTAMP)
+            ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END, '%Y-%m-%d %H:%M:%S') AS iso_date FROM orders""",
+        "keyword_file": category.format(_case("canonical_name", KEYWORDS), "names"),
+        "catalog_file": "SELECT * FROM catalogue",
+        "append_facts": f"SELECT {_FACT_COLUMNS}, strftime(date_id, '%Y-%m') AS month FROM facts",
+        "revenue_invariant": """WITH s AS (SELECT CAST(sum(gross_revenue) AS DECIMAL(38,4)) AS gross_sales FROM facts WHERE transaction_type = 'SALE')
+            SELECT unnest(['months', 'categories', 'customer types', 'lines']) AS "grouping", gross_sales FROM s""",
         "parse_dates_by_source": f"""SELECT source, invoice_date AS date_text,
             {_TS.format(_PARSE.format('invoice_date'))} AS iso_date, count(*) AS n_lines FROM texts GROUP BY 1, 2, 3""",
         "combine_sources": f"SELECT {_LINE_COLUMNS}, CAST(CASE WHEN source = 'source2' THEN 0 ELSE 1 END AS INT) AS source_priority FROM combined",
@@ -295,15 +331,18 @@ def oracle_sql() -> dict[str, str]:
         "tag_transaction_type": "SELECT CAST(quantity AS BIGINT) AS quantity, transaction_type, count(*) AS n_lines FROM typed GROUP BY 1, 2",
         "count_by_type": "SELECT transaction_type, count(*) AS n FROM past_date GROUP BY 1",
         "reject_bad_price": "SELECT invoice_no, product_code, CAST(quantity AS BIGINT) AS quantity, source FROM checked WHERE reason = 'Precio Unitario <=0'",
-        "gross_revenue": "SELECT invoice_no, product_code, CAST(quantity AS BIGINT) AS quantity, CAST(gross_revenue AS DECIMAL(18,4)) AS gross_revenue, source FROM valid",
+        "gross_revenue": "SELECT invoice_no, product_code, CAST(quantity AS BIGINT) AS quantity, CAST(gross_revenue AS DECIMAL(38,4)) AS gross_revenue, source FROM valid",
         "canonical_name": "SELECT v.invoice_no, v.product_code, n.canonical_name, v.source FROM valid v JOIN names n ON v.product_code = n.product_code",
         "mode_per_group": "SELECT code_key, fill_name FROM fill",
         "row_hash": "SELECT invoice_no, product_code, source, source_row_hash FROM hashed",
         "fill_country": "SELECT country, count(*) AS n_lines FROM valid GROUP BY 1",
         "cut_quantities": "SELECT count(*) FILTER (WHERE quantity <> floor(quantity)) AS cut_quantities FROM valid",
-        "run_transformation": """SELECT 'valid' AS output, count(*) AS n_rows FROM valid
-            UNION ALL SELECT 'products', count(*) FROM products UNION ALL SELECT 'customers', count(*) FROM customers
-            UNION ALL SELECT 'rejected', count(*) FROM rejected""",
+        "run_transformation": """SELECT 'valid' AS output, source_row_hash AS key,
+              concat_ws('|', coalesce(invoice_no, ''), customer_id, transaction_type, country) AS content FROM hashed
+            UNION ALL SELECT 'products', product_code, concat_ws('|', canonical_name, category) FROM products
+            UNION ALL SELECT 'customers', customer_id, CAST(is_anonymous AS VARCHAR) FROM customers
+            UNION ALL SELECT 'rejected', rejection_reason, concat_ws('|', coalesce(invoice_no, ''), coalesce(product_code, ''),
+              coalesce(description, ''), source) FROM rejected""",
         # rejects, counters, run log
         "rejected_rows": f"SELECT {_LINE_COLUMNS}, rejection_reason, transaction_type, invoice_date_utc, date_id FROM rejected",
         "rejects_by_reason": "SELECT rejection_reason, count(*) AS n FROM rejected GROUP BY 1 ORDER BY n DESC, 1",
@@ -334,7 +373,7 @@ def oracle_sql() -> dict[str, str]:
         "insert_transactions": """SELECT transaction_type, (SELECT count(*) FROM hashed h WHERE h.transaction_type = f.transaction_type) AS incoming,
             count(*) FILTER (WHERE year(date_id) > 1997) AS inserted FROM facts f GROUP BY 1""",
         "upsert_daily_revenue": f"""SELECT date_id, product_code, country,
-            CASE WHEN year(date_id) < 1998 THEN CAST(-1 AS DECIMAL(18,4)) ELSE CAST(net_revenue AS DECIMAL(18,4)) END AS net_revenue,
+            CASE WHEN year(date_id) < 1998 THEN CAST(-1 AS DECIMAL(38,4)) ELSE CAST(net_revenue AS DECIMAL(38,4)) END AS net_revenue,
             CASE WHEN year(date_id) < 1998 THEN 0 ELSE {_int('sale_count')} END AS sale_count FROM daily""",
         "idempotent_rerun": """SELECT count(*) - count(DISTINCT source_row_hash) AS new_facts, CAST(0 AS BIGINT) AS changed_rollup_rows FROM facts""",
         # business questions
@@ -373,21 +412,21 @@ def oracle_sql() -> dict[str, str]:
             FROM months GROUP BY year""",
         "return_rate_vs_average": f"""SELECT CAST(year AS INT) AS year, CAST(month AS INT) AS month, {_pct('r', 'g')} AS pct_devolucion,
             (SELECT {_pct('sum(r)', 'sum(g)')} FROM months) AS pct_global,
-            CAST(ROUND((CAST(r AS DOUBLE) / g) / (SELECT CAST(sum(r) AS DOUBLE) / sum(g) FROM months), 2) AS DECIMAL(18,2)) AS veces
+            CAST(ROUND((CAST(r AS DOUBLE) / g) / (SELECT CAST(sum(r) AS DOUBLE) / sum(g) FROM months), 2) AS DECIMAL(38,2)) AS veces
             FROM months""",
         "anonymous_share": f"""SELECT {_pct('max(rev) FILTER (WHERE is_anonymous)', 'sum(rev)')} AS anonimo_pct,
             CAST(ROUND(max(CAST(rev AS DOUBLE) / inv) FILTER (WHERE is_anonymous)
-              / max(CAST(rev AS DOUBLE) / inv) FILTER (WHERE NOT is_anonymous), 2) AS DECIMAL(18,2)) AS ticket_veces FROM per_type""",
+              / max(CAST(rev AS DOUBLE) / inv) FILTER (WHERE NOT is_anonymous), 2) AS DECIMAL(38,2)) AS ticket_veces FROM per_type""",
         "ticket_vs_home": f"""SELECT country, {_ratio('rev', 'inv')} AS ticket_promedio,
             CAST(ROUND((CAST(rev AS DOUBLE) / inv) / (SELECT CAST(rev AS DOUBLE) / inv FROM per_country
-              WHERE country = '{HOME_COUNTRY}'), 2) AS DECIMAL(18,2)) AS veces_local FROM per_country""",
+              WHERE country = '{HOME_COUNTRY}'), 2) AS DECIMAL(38,2)) AS veces_local FROM per_country""",
         "top_n_net_total": f"""SELECT count(*) AS productos, {_money('sum(n)')} AS revenue_neto
             FROM (SELECT n FROM per_product ORDER BY n DESC, product_code LIMIT 3)""",
         "described_share": f"""SELECT count(*) AS productos, count(*) FILTER (WHERE canonical_name <> 'SIN DESCRIPCION') AS con_descripcion,
             {_pct("count(*) FILTER (WHERE canonical_name <> 'SIN DESCRIPCION')", 'count(*)')} AS con_descripcion_pct FROM products""",
         "category_rate_ratio": f"""SELECT category, {_pct('r', 'g')} AS pct_devolucion,
             CAST(ROUND((CAST(r AS DOUBLE) / g) / (SELECT CAST(r AS DOUBLE) / g FROM per_category WHERE category = 'Table'), 2)
-              AS DECIMAL(18,2)) AS veces_base FROM per_category""",
+              AS DECIMAL(38,2)) AS veces_base FROM per_category""",
         # integrity
         "fk_orphans": " UNION ALL ".join(
             f"""SELECT '{c}' AS table_name, '{k}' AS key_name, '{p}' AS parent_table, count(*) AS orphan_rows
@@ -414,16 +453,16 @@ def oracle_sql() -> dict[str, str]:
             {_pct('count(*) FILTER (WHERE q <= 0)', 'count(*)', 1)} AS returns_pct,
             count(*) FILTER (WHERE q IS NULL) AS not_numeric, CAST(round(min(q)) AS BIGINT) AS min_quantity,
             CAST(round(max(q)) AS BIGINT) AS max_quantity FROM numbers GROUP BY source""",
-        "quantity_histogram": """SELECT e.source, e.kind, b.bin, CAST(ROUND(lo + b.bin * (hi - lo) / bins, 4) AS DECIMAL(18,4)) AS bin_low,
-            CAST(ROUND(lo + (b.bin + 1) * (hi - lo) / bins, 4) AS DECIMAL(18,4)) AS bin_high, count(c.q) AS n_lines
+        "quantity_histogram": """SELECT e.source, e.kind, b.bin, CAST(ROUND(lo + b.bin * (hi - lo) / bins, 4) AS DECIMAL(38,4)) AS bin_low,
+            CAST(ROUND(lo + (b.bin + 1) * (hi - lo) / bins, 4) AS DECIMAL(38,4)) AS bin_high, count(c.q) AS n_lines
             FROM ends e JOIN (SELECT unnest(range(50)) AS bin) b ON b.bin < e.bins
             LEFT JOIN clipped c ON c.source = e.source AND c.kind = e.kind
               AND least(CAST(floor((c.q - lo) * bins / (hi - lo)) AS BIGINT), bins - 1) = b.bin
             GROUP BY e.source, e.kind, b.bin, lo, hi, bins""",
         "price_profile": """SELECT source, count(*) FILTER (WHERE p = 0) AS zero_prices, count(*) FILTER (WHERE p < 0) AS negative_prices,
-            count(*) FILTER (WHERE p IS NULL) AS null_prices, CAST(ROUND(min(p), 4) AS DECIMAL(18,4)) AS min_price,
-            CAST(ROUND(max(p), 2) AS DECIMAL(18,2)) AS max_price,
-            CAST(ROUND(CAST(sum(CAST(p AS DECIMAL(28,10))) AS DOUBLE) / count(p), 2) AS DECIMAL(18,2)) AS mean_price
+            count(*) FILTER (WHERE p IS NULL) AS null_prices, CAST(ROUND(min(p), 4) AS DECIMAL(38,4)) AS min_price,
+            CAST(ROUND(max(p), 2) AS DECIMAL(38,2)) AS max_price,
+            CAST(ROUND(CAST(sum(CAST(p AS DECIMAL(28,10))) AS DOUBLE) / count(p), 2) AS DECIMAL(38,2)) AS mean_price
             FROM numbers GROUP BY source""",
         "date_profile": f"""SELECT source, (SELECT invoice_date FROM texts b WHERE b.source = a.source {_ORDERED_TEXT} LIMIT 1) AS first_text,
             {_TS.format("min(ts)")} AS first_time, {_TS.format("max(ts)")} AS last_time, count(*) FILTER (WHERE ts IS NULL) AS invalid_dates

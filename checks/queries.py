@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +17,13 @@ from tallyline.operators import (
     catalogue, categories, cleaning, dimensions, facts, ingest, profiling, quality, rejects, upserts,
 )
 from tallyline.plans import business, metrics
-from tallyline.schemas import BAD_PRICE, CANONICAL_COLUMNS, NO_CODE, NO_DESCRIPTION, NOT_NUMERIC
-from tallyline.session import stage
-from tallyline.sources.keywords import PIPELINE_KEYWORDS
-from tallyline.sources.lines import yearly_union
+from tallyline.plans.tables import append_by_month, read_table
+from tallyline.schemas import (
+    BAD_PRICE, CANONICAL_COLUMNS, FACT_TRANSACTIONS, NO_CODE, NO_DESCRIPTION, NOT_NUMERIC, SOURCE1_COLUMNS, SOURCE2_COLUMNS,
+)
+from tallyline.session import stage, staging_root
+from tallyline.sources.keywords import PIPELINE_KEYWORDS, read_keyword_map
+from tallyline.sources.lines import read_source1, read_source2, yearly_union
 
 Query = Callable[[Inputs], DataFrame]
 
@@ -31,7 +37,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.ShortType):
             column = column.cast("int")
         elif isinstance(field.dataType, T.DecimalType):
-            column = column.cast(f"decimal(18,{field.dataType.scale})")
+            column = column.cast(f"decimal(38,{field.dataType.scale})")
         return column.alias(field.name)
 
     return df.select(*[cast(f) for f in df.schema.fields])
@@ -42,9 +48,12 @@ def _count(df: DataFrame, *columns) -> DataFrame:
 
 
 def _yearly(i: Inputs) -> DataFrame:
-    year = F.year(F.to_date("invoice_date"))
-    sheets = [i.source2.where(year == y) for y in range(1995, 2002)]
-    return yearly_union(sheets).groupBy("sheet", year.alias("sheet_year")).agg(
+    """A sheet for each year of the lines, and a last one for lines without a date."""
+    sheeted = stage(i.source2.withColumn("sheet_year", F.year(F.to_date("invoice_date"))), "sheets", ["sheet_year"])
+    years = [r[0] for r in sheeted.select("sheet_year").distinct().orderBy(F.asc_nulls_last("sheet_year")).collect()]
+    year = F.col("sheet_year")
+    sheets = [sheeted.where(year.isNull() if y is None else year == y) for y in years]
+    return yearly_union(sheets).groupBy("sheet", "sheet_year").agg(
         F.count("*").alias("n_lines"), F.min("invoice_date").alias("first_date"),
         F.max("invoice_date").alias("last_date"))
 
@@ -88,10 +97,20 @@ def _both_category_modes(i: Inputs) -> DataFrame:
 
 
 def _transformation(i: Inputs) -> DataFrame:
+    """All rows of the four outputs as key and content."""
     result = cleaning.run_transformation(i.combined, KEYWORDS)
-    outputs = {"valid": result.lines, "products": result.products, "customers": result.customers,
-               "rejected": result.rejected}
-    return rejects.table_counts(outputs).select(F.col("table_name").alias("output"), F.col("n").alias("n_rows"))
+
+    def listed(output: str, df: DataFrame, key: str, *content: str) -> DataFrame:
+        return df.select(F.lit(output).alias("output"), F.col(key).alias("key"),
+                         F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in content]).alias("content"))
+
+    parts = [
+        listed("valid", facts.hashed(result.lines), "source_row_hash", "invoice_no", "customer_id", "transaction_type", "country"),
+        listed("products", result.products, "product_code", "canonical_name", "category"),
+        listed("customers", result.customers, "customer_id", "is_anonymous"),
+        listed("rejected", result.rejected, "rejection_reason", "invoice_no", "product_code", "description", "source"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 def _anonymous_seed(i: Inputs) -> DataFrame:
@@ -135,7 +154,7 @@ def _inserted_transactions(i: Inputs) -> DataFrame:
 
 def _upserted_daily(i: Inputs) -> DataFrame:
     """The rollup from 1998 on replaces an older state of the whole rollup."""
-    old = i.daily.withColumn("net_revenue", F.lit(-1).cast("decimal(24,4)")).withColumn("sale_count", F.lit(0).cast("bigint"))
+    old = i.daily.withColumn("net_revenue", F.lit(-1).cast("decimal(38,4)")).withColumn("sale_count", F.lit(0).cast("bigint"))
     merged = upserts.upsert_daily_revenue(old, i.daily.where("year(date_id) >= 1998"))
     return merged.select("date_id", "product_code", "country", "net_revenue", "sale_count")
 
@@ -144,8 +163,8 @@ def _rerun(i: Inputs) -> DataFrame:
     """Load the same lines again: no new facts, and no change in the rollup."""
     new = stage(upserts.new_transactions(i.facts, facts.fact_transactions(i.valid)), "rerun")
     again = facts.daily_revenue(i.facts.unionByName(new))
-    measures = [c for c in again.columns]
-    changed = again.select(measures).exceptAll(i.daily.select(measures))
+    before = i.daily.select(again.columns)
+    changed = again.exceptAll(before).unionByName(before.exceptAll(again))
     return new.agg(F.count("*").alias("new_facts")).withColumn(
         "changed_rollup_rows", changed.agg(F.count("*").alias("n")).scalar())
 
@@ -159,15 +178,75 @@ def _nameless(i: Inputs) -> DataFrame:
     return i.products.withColumn("canonical_name", F.nullif("canonical_name", F.lit(NO_DESCRIPTION)))
 
 
+def _csv_roundtrip(i: Inputs) -> DataFrame:
+    """Both exports with null tokens, quotes and line breaks in their cells, written as CSV and read back."""
+    root = f"{staging_root(i.spark)}/csv-{uuid.uuid4().hex[:12]}"
+
+    def written(raw: DataFrame, headers: dict[str, str], encoding: str, name: str) -> str:
+        code = F.col(next(h for h, c in headers.items() if c == "product_code"))
+        told = F.when(code.endswith("7"), F.concat(F.lit('a "b", '), "Description", F.lit("\nc"))).when(
+            code.endswith("5"), F.lit("n/a")).otherwise(F.col("Description"))
+        raw.select(list(headers)).withColumn("Description", told).write.option("header", True).option("encoding", encoding).option(
+            "quote", '"').option("escape", '"').option("escapeQuotes", True).csv(f"{root}/{name}")
+        return f"{root}/{name}"
+
+    first = read_source1(i.spark, written(i.raw1, SOURCE1_COLUMNS, "ISO-8859-1", "source1"), multi_line=True)
+    second = read_source2(i.spark, written(i.raw2, SOURCE2_COLUMNS, "UTF-8", "source2"), multi_line=True)
+    return _lines(first.unionByName(second))
+
+
+def _keyword_file(i: Inputs) -> DataFrame:
+    """Categories by a keyword map that was written as JSON and read back."""
+    path = f"{staging_root(i.spark)}/keywords-{uuid.uuid4().hex[:12]}"
+    text = json.dumps({"categories": KEYWORDS.categories, "default": KEYWORDS.default}, ensure_ascii=False)
+    i.spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.text(path)
+    return categories.category_by_keyword(i.names, read_keyword_map(i.spark, path))
+
+
+def _catalogue_file(i: Inputs) -> DataFrame:
+    path = f"{staging_root(i.spark)}/catalogue-{uuid.uuid4().hex[:12]}"
+    catalogue.write_catalogue(i.catalogue, path)
+    return catalogue.read_catalogue(i.spark, path)
+
+
+def _appended_facts(i: Inputs) -> DataFrame:
+    """The facts up to 1997 and the later ones, appended one after the other to a table by month."""
+    path = f"{staging_root(i.spark)}/facts-{uuid.uuid4().hex[:12]}"
+    for part in ("year(date_id) <= 1997", "year(date_id) > 1997"):
+        append_by_month(i.facts.where(part), path)
+    return read_table(i.spark, path, FACT_TRANSACTIONS, "month")
+
+
+def _revenue_invariant(i: Inputs) -> DataFrame:
+    """Gross sales by month, by category, by customer type and by line are the same sum."""
+    sums = {
+        "months": (business.monthly_totals(i.daily), "gross_sales"),
+        "categories": (business.category_totals(i.daily, i.products), "gross_sales"),
+        "customer types": (business.customer_type_totals(i.facts, i.customers), "revenue"),
+        "lines": (i.facts.where("transaction_type = 'SALE'"), "gross_revenue"),
+    }
+    rows = [df.agg(F.sum(column).cast("decimal(38,4)").alias("gross_sales")).select(F.lit(name).alias("grouping"), "gross_sales")
+            for name, (df, column) in sums.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _mixed_dates(i: Inputs) -> DataFrame:
+    """Order dates written in a layout that depends on the order, and read by the general parse."""
+    layouts = ["yyyy/MM/dd", "dd-MMM-yyyy", "MMM d, yyyy", "yyyyMMdd", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss'Z'", "d MMMM yyyy"]
+    orders = i.spark.read.parquet(f"{i.sf_dir}/orders.parquet").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("d"))
+    text = F.coalesce(*[F.when(F.col("o_orderkey") % len(layouts) == n, F.date_format("d", layout)) for n, layout in enumerate(layouts)])
+    return orders.select("o_orderkey", dates.iso_text(dates.general_timestamp(text)).alias("iso_date"))
+
+
 _PAGE = {"page": 2, "size": 50, "category": "varios", "active_only": True}
 
 
 def _deep_page(i: Inputs) -> DataFrame:
-    return catalogue.numbered_page(i.catalogue, page=3, size=200)
+    return catalogue.page_items(i.catalogue, page=3, size=200)
 
 
 def _months(i: Inputs) -> DataFrame:
-    return business.monthly_totals(i.daily, i.calendar)
+    return business.monthly_totals(i.daily)
 
 
 def _lines(df: DataFrame) -> DataFrame:
@@ -181,6 +260,8 @@ _QUERIES: dict[str, Query] = {
     "yearly_union": _yearly,
     "parse_dates_by_source": _parsed_dates,
     "combine_sources": lambda i: i.combined,
+    "csv_roundtrip": _csv_roundtrip,
+    "mixed_date_layouts": _mixed_dates,
     "dedup_keep_first": lambda i: _lines(i.unique),
     "duplicates_log": lambda i: i.duplicates.select(*CANONICAL_COLUMNS, "rejection_reason"),
     "dedup_counts": lambda i: ingest.dedup_counts(i.combined),
@@ -199,6 +280,7 @@ _QUERIES: dict[str, Query] = {
     "assign_category_keyword_default_map": lambda i: categories.category_by_keyword(i.names, PIPELINE_KEYWORDS),
     "assign_category_catalog": lambda i: categories.category_by_catalogue(i.names, i.catalogue),
     "assign_category": _both_category_modes,
+    "keyword_file": _keyword_file,
     "normalize_customer": lambda i: _count(_texts(i), "raw_customer", "customer_id"),
     "tag_transaction_type": _tagged,
     "count_by_type": lambda i: rejects.count_by_type(i.checked),
@@ -206,7 +288,7 @@ _QUERIES: dict[str, Query] = {
         "invoice_no", "product_code", F.col("quantity").cast("bigint").alias("quantity"), "source"),
     "gross_revenue": lambda i: i.valid.select(
         "invoice_no", "product_code", F.col("quantity").cast("bigint").alias("quantity"),
-        F.col("gross_revenue").cast("decimal(18,4)").alias("gross_revenue"), "source"),
+        F.col("gross_revenue").cast("decimal(38,4)").alias("gross_revenue"), "source"),
     "canonical_name": lambda i: i.valid.join(i.names, "product_code", "left").select(
         "invoice_no", "product_code", "canonical_name", "source"),
     "mode_per_group": lambda i: cleaning.fill_names(i.checked),
@@ -229,6 +311,8 @@ _QUERIES: dict[str, Query] = {
     "dim_date": _calendar_use,
     "anonymous_seed": _anonymous_seed,
     "fact_transactions": lambda i: facts.distinct_facts(facts.fact_transactions(i.valid)),
+    "append_facts": _appended_facts,
+    "revenue_invariant": _revenue_invariant,
     "daily_revenue": lambda i: facts.daily_revenue(i.facts),
     "upsert_products": _upserted_products,
     "insert_customers": _inserted_customers,
@@ -236,7 +320,7 @@ _QUERIES: dict[str, Query] = {
     "upsert_daily_revenue": _upserted_daily,
     "idempotent_rerun": _rerun,
     # business questions
-    "q1_monthly_net_sales": lambda i: business.monthly_net_sales(i.daily, i.calendar),
+    "q1_monthly_net_sales": lambda i: business.monthly_net_sales(i.daily),
     "q2_category_revenue": lambda i: business.category_revenue(i.daily, i.products),
     "q3a_top_net_revenue": lambda i: business.top_net_revenue(i.daily, i.products),
     "q3b_top_return_rate": lambda i: business.top_return_rate(i.daily, i.products),
@@ -288,6 +372,7 @@ _QUERIES: dict[str, Query] = {
     # catalogue
     "build_catalog": lambda i: catalogue.build_catalogue(i.combined.drop("source_priority")),
     "build_catalog_source2": lambda i: catalogue.build_catalogue(i.source2),
+    "catalog_file": _catalogue_file,
     "catalog_active": lambda i: i.catalogue.groupBy("is_active").agg(F.count("*").alias("products")),
     "catalog_category": lambda i: i.catalogue.groupBy("category").agg(F.count("*").alias("products")),
     "catalog_page": lambda i: catalogue.page_items(i.catalogue, **_PAGE),

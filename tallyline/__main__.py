@@ -17,7 +17,7 @@ from tallyline.operators import catalogue, ingest, profiling
 from tallyline.plans import business, daily_run
 from tallyline.plans.daily_run import Warehouse
 from tallyline.schemas import SOURCE1_COLUMNS, SOURCE2_COLUMNS
-from tallyline.session import prepare, stage
+from tallyline.session import prepare, stage, staging_area
 from tallyline.sources.keywords import PIPELINE_KEYWORDS, read_keyword_map
 from tallyline.sources.lines import read_csv_text, read_source1, read_source2, text_lines
 
@@ -28,10 +28,9 @@ PROFILES = ["null_report", "quantity_profile", "quantity_histogram", "price_prof
 
 def report(warehouse: Warehouse, name: str) -> DataFrame:
     daily, facts = warehouse.daily, warehouse.facts
-    products = lambda: warehouse.products()[0]
-    customers = lambda: warehouse.customers()[0]
+    products, customers = warehouse.products, warehouse.customers
     reports = {
-        "q1": lambda: business.monthly_net_sales(daily(), warehouse.calendar()),
+        "q1": lambda: business.monthly_net_sales(daily()),
         "q2": lambda: business.category_revenue(daily(), products()),
         "q3a": lambda: business.top_net_revenue(daily(), products()),
         "q3b": lambda: business.top_return_rate(daily(), products()),
@@ -46,20 +45,28 @@ def report(warehouse: Warehouse, name: str) -> DataFrame:
     return reports[name]()
 
 
-def profile(spark: SparkSession, source1: str, source2: str, name: str) -> DataFrame:
+def print_rows(df: DataFrame) -> None:
+    """All rows, one a line with tabs between the cells; fetched a partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if cell is None else str(cell) for cell in row))
+
+
+def profile(spark: SparkSession, source1: str, source2: str, name: str, multi_line: bool = False) -> DataFrame:
     """Reports that look at one export use the first one."""
-    first = text_lines(read_csv_text(spark, source1, "ISO-8859-1"), SOURCE1_COLUMNS, "source1")
-    second = text_lines(read_csv_text(spark, source2), SOURCE2_COLUMNS, "source2")
+    first = text_lines(read_csv_text(spark, source1, list(SOURCE1_COLUMNS), "ISO-8859-1", multi_line), SOURCE1_COLUMNS, "source1")
+    second = text_lines(read_csv_text(spark, source2, list(SOURCE2_COLUMNS), multi_line=multi_line), SOURCE2_COLUMNS, "source2")
     of_first = {"most_varied_codes", "variant_summary", "variants_of_top_code", "nonnumeric_codes", "country_profile",
                 "sample", "zero_price_sample"}
     return getattr(profiling, name)(first if name in of_first else first.unionByName(second))
 
 
-def build_catalogue(spark: SparkSession, source1: str | None, source2: str | None, out: str) -> None:
-    parts = [stage(read(spark, path), "catalogue-lines")
-             for read, path in ((read_source1, source1), (read_source2, source2)) if path]
-    lines = ingest.combine_sources(*parts).drop("source_priority") if len(parts) == 2 else parts[0]
-    catalogue.write_catalogue(catalogue.build_catalogue(lines), out)
+def build_catalogue(spark: SparkSession, source1: str | None, source2: str | None, out: str, multi_line: bool = False) -> None:
+    with staging_area(spark):
+        parts = [stage(read(spark, path, multi_line), "catalogue-lines")
+                 for read, path in ((read_source1, source1), (read_source2, source2)) if path]
+        lines = ingest.combine_sources(*parts).drop("source_priority") if len(parts) == 2 else parts[0]
+        catalogue.write_catalogue(catalogue.build_catalogue(lines), out)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -88,6 +95,8 @@ def main(arguments: list[str] | None = None) -> None:
     for command in (load, result, statement):
         command.add_argument("--first-day", default="2009-01-01")
         command.add_argument("--last-day", default="2012-12-31")
+    for command in (load, export, look):
+        command.add_argument("--multi-line", action="store_true", help="cells may hold quoted line breaks")
     options = parser.parse_args(arguments)
     if options.command == "catalogue" and not (options.source1 or options.source2):
         parser.error("catalogue needs --source1 or --source2")
@@ -97,18 +106,18 @@ def main(arguments: list[str] | None = None) -> None:
         keywords = read_keyword_map(spark, options.keywords) if options.keywords else PIPELINE_KEYWORDS
         known = catalogue.read_catalogue(spark, options.catalogue) if options.catalogue else None
         print(daily_run.run(spark, options.source1, options.source2, options.warehouse, options.run_id, options.date,
-                            keywords, known, options.first_day, options.last_day))
+                            keywords, known, options.first_day, options.last_day, options.multi_line))
     elif options.command == "catalogue":
-        build_catalogue(spark, options.source1, options.source2, options.out)
+        build_catalogue(spark, options.source1, options.source2, options.out, options.multi_line)
     elif options.command == "profile":
-        profile(spark, options.source1, options.source2, options.name).show(50, truncate=False)
+        print_rows(profile(spark, options.source1, options.source2, options.name, options.multi_line))
     else:
         warehouse = Warehouse(spark, options.warehouse, options.first_day, options.last_day)
         if options.command == "report":
-            report(warehouse, options.name).show(200, truncate=False)
+            print_rows(report(warehouse, options.name))
         else:
             warehouse.register_views()
-            spark.sql(options.text).show(200, truncate=False)
+            print_rows(spark.sql(options.text))
 
 
 if __name__ == "__main__":

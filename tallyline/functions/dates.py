@@ -10,6 +10,13 @@ SOURCE1_FORMAT = "M/d/yyyy H:mm"
 SOURCE2_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MONTH_FIRST = ["yyyy-MM-dd[ HH:mm[:ss]]", "yyyy-MM-dd'T'HH:mm[:ss]", "M/d/yyyy[ H:mm[:ss]]"]
 DAY_FIRST = ["d/M/yyyy[ H:mm[:ss]]"]
+# Less frequent layouts, tried last: year first, fractions and offsets, dashes, month names.
+OTHERS = [
+    "yyyy/M/d[ H:mm[:ss]]", "yyyy-M-d[ H:mm[:ss]]", "yyyyMMdd", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd HH:mm[:ss][ ]XXX", "yyyy-MM-dd'T'HH:mm[:ss]XXX", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "M-d-yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]", "d MMM yyyy[ H:mm[:ss]]", "d-MMM-yyyy[ H:mm[:ss]]", "MMM d, yyyy[ H:mm[:ss]]",
+    "d MMMM yyyy[ H:mm[:ss]]", "MMMM d, yyyy[ H:mm[:ss]]", "M/d/yyyy h:mm[:ss] a",
+]
 
 
 def first_match(text: Column, formats: list[str]) -> Column:
@@ -19,12 +26,12 @@ def first_match(text: Column, formats: list[str]) -> Column:
 
 def source_timestamp(text: Column, exact: str) -> Column:
     """The export's own layout, then the general parse."""
-    return first_match(text, [exact, *MONTH_FIRST, *DAY_FIRST])
+    return first_match(text, [exact, *MONTH_FIRST, *DAY_FIRST, *OTHERS])
 
 
 def general_timestamp(text: Column) -> Column:
-    """ISO, then month first, then day first."""
-    return first_match(text, [*MONTH_FIRST, *DAY_FIRST])
+    """ISO, then month first, then day first, then the other layouts. Times with an offset are put to UTC."""
+    return first_match(text, [*MONTH_FIRST, *DAY_FIRST, *OTHERS])
 
 
 def iso_text(stamp: Column) -> Column:

@@ -23,17 +23,21 @@ def subtract_copies(df: DataFrame, taken: DataFrame) -> DataFrame:
     """Multiset difference: every row of ``df`` except one copy per row of ``taken``.
 
     Grouped on the whole row after a map-side sum, so neither a hot key with different rows nor
-    a row with very many copies lands in one task. Copies are re-created in bounded chunks that
-    are spread over the cluster.
+    a row with very many copies lands in one task. The rows of such a row, and only they, are
+    re-created in bounded chunks that are spread over the cluster.
     """
     columns = df.columns
     signed = df.withColumn("_n", F.lit(1)).unionByName(taken.select(columns).withColumn("_n", F.lit(-1)))
     left = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n > 0")
+    few = left.where(F.col("_n") <= COPIES_PER_CHUNK).withColumn("_copies", F.col("_n"))
+    many = left.where(F.col("_n") > COPIES_PER_CHUNK)
     last_chunk = ((F.col("_n") - 1) / COPIES_PER_CHUNK).cast("bigint")
-    chunks = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
-    copies = F.least(F.lit(COPIES_PER_CHUNK), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
-    spread = chunks.repartition(*columns, "_chunk")
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(columns)
+    chunks = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    copies = F.least(F.lit(COPIES_PER_CHUNK).cast("bigint"), F.col("_n") - F.col("_chunk") * COPIES_PER_CHUNK)
+    spread = chunks.repartition(*columns, "_chunk").withColumn("_copies", copies)
+    every = few.select(*columns, "_copies").unionByName(spread.select(*columns, "_copies"))
+    one = F.lit(1).cast("bigint")
+    return every.withColumn("_copy", F.explode(F.sequence(one, F.col("_copies")))).select(columns)
 
 
 def weighted_mode(df: DataFrame, keys: list[str], value: str, weight: Column, out: str) -> DataFrame:

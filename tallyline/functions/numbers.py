@@ -61,4 +61,4 @@ def ratio(part: Column, total: Column, digits: int = 2) -> Column:
 
 def rounded(value: Column, digits: int = 2) -> Column:
     """Rounded half away from zero."""
-    return F.round(value, digits).cast(f"decimal(18,{digits})")
+    return F.round(value, digits).cast(f"decimal(38,{digits})")

@@ -15,7 +15,6 @@ from tallyline.sources.keywords import CATALOGUE_KEYWORDS, KeywordMap
 
 ACTIVE_DAYS = 180
 MAX_PAGE_SIZE = 200
-_SHALLOW_ROWS = 20_000
 
 
 def build_catalogue(lines: DataFrame, keywords: KeywordMap = CATALOGUE_KEYWORDS,
@@ -84,21 +83,13 @@ def page_items(catalogue: DataFrame, page: int = 1, size: int = 50, category: st
                active_only: bool = False) -> DataFrame:
     """The records of one page in code order.
 
-    Early pages are a top-k. A late page would make that top-k hold all pages before it, so
-    there the page is cut from numbered rows.
+    Rows are numbered by a distributed sort and filtered, at any depth: a top-k of a late page would
+    hold all pages before it. Only the page itself is sorted at the end.
     """
     _check_page(page, size)
-    if page * size > _SHALLOW_ROWS:
-        return numbered_page(catalogue, page, size, category, active_only)
-    return _selected(catalogue, category, active_only).orderBy("code").offset((page - 1) * size).limit(size)
-
-
-def numbered_page(catalogue: DataFrame, page: int, size: int, category: str | None = None,
-                  active_only: bool = False) -> DataFrame:
-    """The same page for any depth: rows are numbered with a distributed sort and filtered."""
     numbered = number_rows(_selected(catalogue, category, active_only), [F.col("code")])
     start = (page - 1) * size
-    return numbered.where(F.col("position").between(start, start + size - 1)).drop("position")
+    return numbered.where(F.col("position").between(start, start + size - 1)).drop("position").orderBy("code")
 
 
 def find_product(catalogue: DataFrame, code: str) -> DataFrame:

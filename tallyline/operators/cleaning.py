@@ -18,8 +18,8 @@ from tallyline.functions.text import product_code, with_blank_to_null
 from tallyline.operators import dimensions, ingest, rejects
 from tallyline.operators.categories import assign_category
 from tallyline.schemas import (
-    ANONYMOUS, BAD_DATE, BAD_PRICE, NO_CODE, NO_DESCRIPTION, NOT_NUMERIC, RETURN, SALE,
-    UNKNOWN_COUNTRY,
+    ANONYMOUS, BAD_DATE, BAD_PRICE, FACT_TRANSACTIONS, NO_CODE, NO_DESCRIPTION, NOT_NUMERIC, RETURN, SALE,
+    TOO_LARGE, UNKNOWN_COUNTRY,
 )
 from tallyline.session import stage
 from tallyline.sources.keywords import PIPELINE_KEYWORDS, KeywordMap
@@ -75,14 +75,19 @@ def fill_country(lines: DataFrame) -> DataFrame:
 
 
 def reject_reason(lines: DataFrame) -> DataFrame:
-    """First rule that fails, in the fixed order numbers, code, date, price."""
+    """First rule that fails, in the fixed order numbers, code, date, price, and what the facts can hold."""
+    too_large = F.abs("quantity") >= 2.0 ** 63
+    for name in ("unit_price", "gross_revenue"):
+        kind = FACT_TRANSACTIONS[name].dataType
+        too_large = too_large | (F.abs(name) >= 10.0 ** (kind.precision - kind.scale))
     bad_price = (F.col("transaction_type") == SALE) & (F.col("unit_price") <= 0)
     return lines.withColumn(
         "reject_reason",
         F.when(F.col("quantity").isNull() | F.col("unit_price").isNull(), NOT_NUMERIC)
         .when(F.col("code_key").isNull(), NO_CODE)
         .when(F.col("invoice_ts").isNull(), BAD_DATE)
-        .when(bad_price, BAD_PRICE),
+        .when(bad_price, BAD_PRICE)
+        .when(too_large, TOO_LARGE),
     )
 
 
@@ -120,7 +125,7 @@ def accepted(checked: DataFrame) -> DataFrame:
 def past_code_rule(checked: DataFrame) -> DataFrame:
     """Lines whose numbers and code are good: the set that description filling looks at."""
     reason = F.col("reject_reason")
-    return checked.where(reason.isNull() | reason.isin(BAD_DATE, BAD_PRICE))
+    return checked.where(reason.isNull() | reason.isin(BAD_DATE, BAD_PRICE, TOO_LARGE))
 
 
 def fill_names(checked: DataFrame) -> DataFrame:
@@ -131,8 +136,12 @@ def fill_names(checked: DataFrame) -> DataFrame:
 
 def fill_description(lines: DataFrame, names: DataFrame) -> DataFrame:
     """Fill missing descriptions from ``names`` and upper-case all of them."""
-    filled = F.coalesce("description", "fill_name", F.lit(NO_DESCRIPTION))
-    return lines.join(names, "code_key", "left").withColumn("description", F.upper(filled)).drop("fill_name")
+    filled = F.upper(F.coalesce("description", "fill_name", F.lit(NO_DESCRIPTION)))
+    missing = F.col("description").isNull()
+    # Only lines without a description are exchanged.
+    named = lines.where(~missing).withColumn("description", F.upper("description"))
+    found = lines.where(missing).join(names, "code_key", "left").withColumn("description", filled)
+    return named.unionByName(found.select(named.columns))
 
 
 def canonical_names(checked: DataFrame, names: DataFrame) -> DataFrame:

@@ -19,13 +19,6 @@ def products(named: DataFrame) -> DataFrame:
     return named.select("product_code", "canonical_name", "category").dropDuplicates(["product_code"])
 
 
-def with_activity(products: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Set ``is_active`` from the catalogue record of the same code; other products keep theirs."""
-    known = catalogue.select(F.col("code").alias("product_code"), F.col("is_active").alias("_active"))
-    return products.join(known, "product_code", "left").withColumn(
-        "is_active", F.coalesce("_active", "is_active")).drop("_active")
-
-
 def calendar(spark: SparkSession, first: str = "2009-01-01", last: str = "2012-12-31") -> DataFrame:
     """One row per day. Weeks are ISO weeks, day 0 is Monday."""
     days = spark.range(1).select(
@@ -46,6 +39,14 @@ def calendar(spark: SparkSession, first: str = "2009-01-01", last: str = "2012-1
     )
 
 
+def calendar_of(spark: SparkSession, facts: DataFrame, first: str, last: str) -> DataFrame:
+    """The calendar from ``first`` to ``last``, widened to whole years around the dates of the facts."""
+    found = facts.agg(F.min("date_id").alias("a"), F.max("date_id").alias("b")).first()
+    if found["a"] is not None:
+        first, last = min(first, f"{found['a'].year:04}-01-01"), max(last, f"{found['b'].year:04}-12-31")
+    return calendar(spark, first, last)
+
+
 def anonymous_customer(spark: SparkSession, first: str = "2009-01-01",
                        last: str = "2012-12-31") -> DataFrame:
     """Seed row for lines without a customer."""

@@ -24,11 +24,11 @@ def hashed(lines: DataFrame) -> DataFrame:
 
 def fact_transactions(lines: DataFrame) -> DataFrame:
     """Typed fact projection of accepted lines. Quantities are cut to whole numbers here, after
-    the revenue was computed from the full value."""
+    the revenue was computed from the full value. Lines whose values do not fit were rejected before."""
     source = {"transaction_date": "invoice_ts"}
     typed = hashed(lines)
     return typed.select(
-        *[F.col(source.get(f.name, f.name)).try_cast(f.dataType).alias(f.name) for f in FACT_TRANSACTIONS]
+        *[F.col(source.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in FACT_TRANSACTIONS]
     )
 
 
@@ -52,13 +52,13 @@ def daily_revenue(facts: DataFrame) -> DataFrame:
         return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
 
     rolled = facts.groupBy(*DAILY_KEYS).agg(
-        total(revenue, sale).cast("decimal(24,4)").alias("gross_sales"),
-        total(revenue, back).cast("decimal(24,4)").alias("total_returns"),
+        total(revenue, sale).cast("decimal(38,4)").alias("gross_sales"),
+        total(revenue, back).cast("decimal(38,4)").alias("total_returns"),
         total(units, sale).alias("sale_quantity"),
         total(F.abs(units), back).alias("return_quantity"),
         F.count_if(sale).alias("sale_count"),
         F.count_if(back).alias("return_count"),
     )
-    net = (F.col("gross_sales") - F.col("total_returns")).cast("decimal(24,4)")
+    net = (F.col("gross_sales") - F.col("total_returns")).cast("decimal(38,4)")
     return rolled.select(*DAILY_KEYS, "gross_sales", "total_returns", net.alias("net_revenue"),
                          "sale_quantity", "return_quantity", "sale_count", "return_count")

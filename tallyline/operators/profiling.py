@@ -122,8 +122,13 @@ def price_profile(lines: DataFrame) -> DataFrame:
     )
 
 
-def date_profile(lines: DataFrame, sources: tuple[str, ...] = ("source1", "source2")) -> DataFrame:
-    """Per source: text of the first line, first and last time, texts that do not parse."""
+def date_profile(lines: DataFrame, sources: tuple[str, ...] | None = None) -> DataFrame:
+    """Per source: text of the first line, first and last time, texts that do not parse.
+
+    All sources of the lines unless some are named; there are as many as exports.
+    """
+    if sources is None:
+        sources = tuple(r["source"] for r in lines.select("source").distinct().collect()) or ("",)
     stamped = lines.withColumn("ts", dates.general_timestamp(F.col("invoice_date")))
     ranges = stamped.groupBy("source").agg(
         dates.iso_text(F.min("ts")).alias("first_time"), dates.iso_text(F.max("ts")).alias("last_time"),

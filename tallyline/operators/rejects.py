@@ -11,7 +11,7 @@ from tallyline.functions import dates
 from tallyline.functions.numbers import number_text
 from tallyline.schemas import (
     ANONYMOUS, BAD_DATE, BAD_PRICE, CANONICAL_COLUMNS, NO_CODE, NO_DESCRIPTION, NO_REASON,
-    NOT_NUMERIC, PIPELINE_RUNS,
+    NOT_NUMERIC, PIPELINE_RUNS, TOO_LARGE,
 )
 
 
@@ -23,7 +23,7 @@ def rejected_lines(checked: DataFrame, names: DataFrame) -> DataFrame:
     """
     bad = checked.where("NOT accepted").join(names, "code_key", "left")
     reason = F.col("reject_reason")
-    at_price = reason == BAD_PRICE
+    at_price = reason.isin(BAD_PRICE, TOO_LARGE)
     filled = F.upper(F.coalesce("description", "fill_name", F.lit(NO_DESCRIPTION)))
 
     def late(value: Column) -> Column:
@@ -33,7 +33,7 @@ def rejected_lines(checked: DataFrame, names: DataFrame) -> DataFrame:
         "invoice_no": F.col("invoice_no"),
         "product_code": F.when(reason == NOT_NUMERIC, F.col("product_code_raw"))
         .when(reason == NO_CODE, F.col("code_key")).otherwise(F.col("product_code")),
-        "description": F.when(reason.isin(BAD_DATE, BAD_PRICE), filled).otherwise(F.col("description_raw")),
+        "description": F.when(reason.isin(BAD_DATE, BAD_PRICE, TOO_LARGE), filled).otherwise(F.col("description_raw")),
         "quantity": number_text(F.col("quantity")),
         "invoice_date": F.col("invoice_date"),
         "unit_price": number_text(F.col("unit_price")),
@@ -92,9 +92,9 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def past_date_rule(checked: DataFrame) -> DataFrame:
-    """Lines that reach the customer and type rules: accepted, or rejected for their price."""
+    """Lines that reach the customer and type rules: accepted, or rejected for their price or size."""
     reason = F.col("reject_reason")
-    return checked.where(reason.isNull() | (reason == BAD_PRICE))
+    return checked.where(reason.isNull() | reason.isin(BAD_PRICE, TOO_LARGE))
 
 
 def anonymous_impact(checked: DataFrame) -> DataFrame:

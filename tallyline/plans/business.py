@@ -20,15 +20,18 @@ def _sums(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names or DAILY_MEASURES]
 
 
-def monthly_totals(daily: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Unrounded measures per calendar month."""
-    per_day = daily.groupBy("date_id").agg(*_sums())
-    month = F.date_format("date_id", "yyyy-MM").alias("periodo")
-    return per_day.join(calendar, "date_id").groupBy("year", "month", "month_name", month).agg(*_sums())
-
-
-def monthly_net_sales(daily: DataFrame, calendar: DataFrame) -> DataFrame:
-    totals = monthly_totals(daily, calendar)
+def monthly_totals(daily: DataFrame) -> DataFrame:
+    """Unrounded measures per month. The month is taken from the date, so no day is lost that a
+    calendar table does not hold."""
+    day = F.col("date_id")
+    return daily.groupBy(
+        F.year(day).cast("smallint").alias("year"), F.month(day).cast("smallint").alias("month"),
+        F.date_format(day, "MMMM").alias("month_name"), F.date_format(day, "yyyy-MM").alias("periodo"),
+    ).agg(*_sums())
+
+
+def monthly_net_sales(daily: DataFrame) -> DataFrame:
+    totals = monthly_totals(daily)
     return totals.select(
         "year", "month", "month_name", "periodo",
         rounded(F.col("gross_sales")).alias("ventas_brutas"),
@@ -153,11 +156,13 @@ def blank_names(products: DataFrame, facts: DataFrame) -> DataFrame:
     """Products with an empty name. ``variaciones_codigo`` counts spellings of the code itself."""
     name = F.col("canonical_name")
     wanted = products.where(name.isNull() | (name == "")).select("product_code", "canonical_name", "category")
-    return facts.select("product_code", "invoice_no").join(wanted, "product_code").groupBy(
-        "product_code", F.col("canonical_name").alias("nombre_canonico"), "category"
-    ).agg(
-        F.count_distinct("invoice_no").alias("num_transacciones"),
-        F.count_distinct(F.upper(F.trim("product_code"))).alias("variaciones_codigo"),
+    # Invoices are counted before the join, so that a product with very many lines is one row in it.
+    invoices = facts.select("product_code", "invoice_no").distinct().groupBy("product_code").agg(
+        F.count("invoice_no").alias("num_transacciones"))
+    # Products are unique by code: the spellings of one code are one.
+    return wanted.join(invoices, "product_code").select(
+        "product_code", F.col("canonical_name").alias("nombre_canonico"), "category", "num_transacciones",
+        F.lit(1).cast("bigint").alias("variaciones_codigo"),
     ).orderBy(F.desc("num_transacciones"), "product_code")
 
 
@@ -178,7 +183,7 @@ def _critical_products(daily: DataFrame, products: DataFrame, min_sales: int, to
     revenue_cut = top_fraction_cut(summary, "gross_sales", top_revenue).scalar()
     rate_cut = top_fraction_cut(summary, "rate", top_rate).scalar()
     return summary.where((F.col("gross_sales") >= revenue_cut) & (F.col("rate") >= rate_cut)).orderBy(
-        F.desc("gross_sales"), "product_code")
+        F.desc(rounded(F.col("gross_sales"))), "product_code")
 
 
 def _critical_columns() -> list[Column | str]:

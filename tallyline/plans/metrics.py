@@ -78,12 +78,6 @@ def ticket_vs_home(by_country: DataFrame, home: str) -> DataFrame:
     )
 
 
-def net_total(products: DataFrame, codes: list[str]) -> DataFrame:
-    """Net revenue of chosen products together, from per-product totals."""
-    chosen = products.where(F.col("product_code").isin(codes))
-    return chosen.agg(F.count("*").alias("productos"), rounded(F.sum("net_revenue")).alias("revenue_neto"))
-
-
 def top_n_net_total(products: DataFrame, n: int = 3) -> DataFrame:
     """Net revenue of the ``n`` best sellers together."""
     best = products.orderBy(F.desc("net_revenue"), "product_code").limit(n)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline import folders
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> DataFrame:
     """The stored table, or an empty one before the first load."""
@@ -19,16 +23,36 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, partition:
         return spark.createDataFrame([], full)
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, int]:
-    """The newest snapshot of a table and its number; (empty, 0) before the first one."""
-    stored = read_table(spark, path, schema, "snapshot").withColumn("snapshot", F.col("snapshot").cast("int"))
-    newest = stored.agg(F.max("snapshot").alias("n")).first()["n"] or 0
-    return stored.where(F.col("snapshot") == newest).drop("snapshot"), newest
+def _published(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Numbers and folders of the published snapshots, from the names of their marks."""
+    found = [name.split("=", 1)[1].split("-", 1) for name in folders.names(spark, f"{path}/_published") if "=" in name]
+    return sorted((int(number), f"snapshot={number}-{rest}") for number, rest in found)
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest published snapshot of a table; empty before the first one. Runs no job."""
+    snapshots = _published(spark, path)
+    if not snapshots:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{snapshots[-1][1]}")
+
 
+def write_snapshot(df: DataFrame, path: str) -> None:
+    """A new folder of its own name, published by a mark once it is whole.
 
-def write_snapshot(df: DataFrame, path: str, number: int) -> None:
-    """A new folder beside the older snapshots: the one that is being read is not touched."""
-    df.write.mode("errorifexists").parquet(f"{path}/snapshot={number}")
+    A write that breaks off leaves an unpublished folder, which no reader sees and the next write
+    removes. The snapshot before the new one is kept for readers that have begun; older ones go.
+    """
+    spark = df.sparkSession
+    snapshots = _published(spark, path)
+    name = f"snapshot={(snapshots[-1][0] if snapshots else 0) + 1}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(f"{path}/{name}")
+    folders.mark(spark, f"{path}/_published/{name}")
+    kept = {name, *[folder for _, folder in snapshots[-1:]]}
+    for place in (f"{path}/_published", path):
+        for old in folders.names(spark, place):
+            if old.startswith("snapshot=") and old not in kept:
+                folders.delete(spark, f"{place}/{old}")
 
 
 def with_month(df: DataFrame) -> DataFrame:
@@ -47,3 +71,13 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Replace only the partitions that occur in ``df``; ``df`` must not read from ``path``."""
     (df.hint("rebalance", partition).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+
+
+# Characters that Spark writes as % and two digits in the names of partition folders.
+_ESCAPED = set("\"#%'*/:=?\\{[]^") | {chr(n) for n in [*range(1, 32), 127]}
+
+
+def replace_partition(df: DataFrame, path: str, partition: str, value: str) -> None:
+    """Make ``df`` the whole content of one partition, also if it has no rows."""
+    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+    df.write.mode("overwrite").parquet(f"{path}/{partition}={name}")

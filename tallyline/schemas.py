@@ -9,6 +9,7 @@ CANONICAL_COLUMNS = [
     "unit_price", "customer_id", "country", "source",
 ]
 
+# ---- fixed values -------------------------------------------------------------------------
 # Raw header -> canonical name, one map per export layout.
 SOURCE1_COLUMNS = {
     "InvoiceNo": "invoice_no", "StockCode": "product_code", "Description": "description",
@@ -21,7 +22,6 @@ SOURCE2_COLUMNS = {
     "Customer ID": "customer_id", "Country": "country",
 }
 
-# ---- fixed values -------------------------------------------------------------------------
 # Cell texts the CSV reader treats as missing.
 NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -35,6 +35,7 @@ NOT_NUMERIC = "quantity o unit_price no es numerico"
 NO_CODE = "product_code nulo o vacio"
 BAD_DATE = "Fecha invalida"
 BAD_PRICE = "Precio Unitario <=0"
+TOO_LARGE = "Valor fuera de rango"
 NO_REASON = "Sin motivo"
 # Default texts.
 NO_DESCRIPTION = "SIN DESCRIPCION"
@@ -66,9 +67,9 @@ FACT_TRANSACTIONS = T.StructType([
     T.StructField("customer_id", T.StringType()),
     T.StructField("transaction_date", T.TimestampType()),
     T.StructField("date_id", T.DateType()),
-    T.StructField("quantity", T.IntegerType()),
-    T.StructField("unit_price", T.DecimalType(12, 4)),
-    T.StructField("gross_revenue", T.DecimalType(14, 4)),
+    T.StructField("quantity", T.LongType()),
+    T.StructField("unit_price", T.DecimalType(24, 4)),
+    T.StructField("gross_revenue", T.DecimalType(28, 4)),
     T.StructField("country", T.StringType()),
     T.StructField("transaction_type", T.StringType()),
     T.StructField("source", T.StringType()),
@@ -79,14 +80,14 @@ DAILY_MEASURES = [
     "gross_sales", "total_returns", "net_revenue",
     "sale_quantity", "return_quantity", "sale_count", "return_count",
 ]
-# Measures are wider than one line's DECIMAL(14,4) / INT: they hold sums over any number of lines.
+# Measures are wider than one line's amounts: they hold sums over any number of lines.
 FACT_DAILY_REVENUE = T.StructType(
     [
         T.StructField("date_id", T.DateType()),
         T.StructField("product_code", T.StringType()),
         T.StructField("country", T.StringType()),
     ]
-    + [T.StructField(name, T.DecimalType(24, 4)) for name in DAILY_MEASURES[:3]]
+    + [T.StructField(name, T.DecimalType(38, 4)) for name in DAILY_MEASURES[:3]]
     + [T.StructField(name, T.LongType()) for name in DAILY_MEASURES[3:]]
 )
 REJECT_LOG = T.StructType([
@@ -96,6 +97,10 @@ REJECT_LOG = T.StructType([
     T.StructField("rejection_reason", T.StringType()),
     T.StructField("raw_data", T.StringType()),
 ])
+# As stored: with the time a row was written.
+STORED_FACTS = T.StructType([*FACT_TRANSACTIONS.fields, T.StructField("loaded_at", T.TimestampType())])
+STORED_DAILY = T.StructType([*FACT_DAILY_REVENUE.fields, T.StructField("updated_at", T.TimestampType())])
+STORED_REJECTS = T.StructType([*REJECT_LOG.fields, T.StructField("rejected_at", T.TimestampType())])
 PIPELINE_RUNS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("dag_run_id", T.StringType()),

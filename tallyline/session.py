@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline import folders
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings for correct results: timestamps are wall clocks labelled UTC."""
@@ -36,6 +40,20 @@ def staging_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tallyline/{application}"
 
 
+_areas: list[list[str]] = []
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, also when the work in between fails."""
+    _areas.append([])
+    try:
+        yield
+    finally:
+        for path in _areas.pop():
+            folders.delete(spark, path)
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared staging folder as parquet and read it back.
 
@@ -44,6 +62,8 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _areas:
+        _areas[-1].append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -6,20 +6,24 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions import dates
 from tallyline.functions.text import missing_to_null
 from tallyline.schemas import CANONICAL_COLUMNS, SOURCE1_COLUMNS, SOURCE2_COLUMNS
 
 
-def read_csv_text(spark: SparkSession, path: str, encoding: str = "UTF-8",
+def read_csv_text(spark: SparkSession, path: str, columns: list[str], encoding: str = "UTF-8",
                   multi_line: bool = False) -> DataFrame:
     """A CSV export with every column as text, plus ``line_order``, the place of the line.
 
-    ``multi_line`` is needed only for quoted line breaks; it stops Spark from splitting files.
+    Each file's header has to have these columns in this order; a file with another one fails the
+    read, so that no value gets into a wrong column. ``multi_line`` is needed only for quoted line
+    breaks; it stops Spark from splitting files.
     """
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     table = (
-        spark.read.option("header", True).option("inferSchema", False)
+        spark.read.schema(schema).option("header", True).option("enforceSchema", False)
         .option("encoding", encoding).option("quote", '"').option("escape", '"')
         .option("multiLine", multi_line)
         .csv(path)
@@ -55,11 +59,11 @@ def source2_lines(raw: DataFrame) -> DataFrame:
 
 
 def read_source1(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return source1_lines(read_csv_text(spark, path, "ISO-8859-1", multi_line))
+    return source1_lines(read_csv_text(spark, path, list(SOURCE1_COLUMNS), "ISO-8859-1", multi_line))
 
 
 def read_source2(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return source2_lines(read_csv_text(spark, path, "UTF-8", multi_line))
+    return source2_lines(read_csv_text(spark, path, list(SOURCE2_COLUMNS), "UTF-8", multi_line))
 
 
 def yearly_union(years: list[DataFrame]) -> DataFrame:

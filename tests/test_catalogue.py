@@ -49,14 +49,8 @@ def test_pages(five):
     assert catalogue.page_summary(five, 3, 2).first() == (5, 3, 2, 3)
     for page, codes in [(1, ["C0", "C1"]), (3, ["C4"]), (4, [])]:
         assert [r.code for r in catalogue.page_items(five, page, 2).collect()] == codes
-        assert sorted(r.code for r in catalogue.numbered_page(five, page, 2).collect()) == codes
     assert [r.code for r in catalogue.page_items(five, category="hogar", active_only=True).collect()] == ["C1"]
-    assert [r.code for r in catalogue.numbered_page(five, 1, 9, "HOGAR").collect()] == ["C1", "C3"]
-
-
-def test_late_pages_are_numbered(five, monkeypatch):
-    monkeypatch.setattr(catalogue, "_SHALLOW_ROWS", 2)
-    assert [r.code for r in catalogue.page_items(five, 2, 2).collect()] == ["C2", "C3"]
+    assert [r.code for r in catalogue.page_items(five, 1, 9, "HOGAR").collect()] == ["C1", "C3"]
 
 
 @pytest.mark.parametrize("page, size", [(0, 10), (1, 0), (1, 201)])
