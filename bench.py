@@ -42,7 +42,8 @@ def complete_load(spark: SparkSession, data: Inputs) -> None:
     """Both exports from CSV files into all warehouse tables; writing the CSV files is not timed apart."""
     with tempfile.TemporaryDirectory(prefix="bench-") as root:
         for name, raw, columns, encoding in (("one", data.raw1, SOURCE1_COLUMNS, "ISO-8859-1"), ("two", data.raw2, SOURCE2_COLUMNS, "UTF-8")):
-            raw.select(list(columns)).write.option("header", True).option("encoding", encoding).option("escape", '"').csv(f"{root}/{name}")
+            raw.select(list(columns)).write.option("header", True).option("encoding", encoding).option("escape", '"').option(
+                "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/{name}")
         daily_run.run(spark, f"{root}/one", f"{root}/two", f"{root}/warehouse", "bench", "2001-12-31",
                       first_day="1995-01-01", last_day="2001-12-31")
 

@@ -299,8 +299,8 @@ def oracle_sql() -> dict[str, str]:
         "keyword_file": category.format(_case("canonical_name", KEYWORDS), "names"),
         "catalog_file": "SELECT * FROM catalogue",
         "append_facts": f"SELECT {_FACT_COLUMNS}, strftime(date_id, '%Y-%m') AS month FROM facts",
-        "revenue_invariant": """WITH s AS (SELECT CAST(sum(gross_revenue) AS DECIMAL(38,4)) AS gross_sales FROM facts WHERE transaction_type = 'SALE')
-            SELECT unnest(['months', 'categories', 'customer types', 'lines']) AS "grouping", gross_sales FROM s""",
+        "revenue_invariant": """SELECT unnest(['months', 'categories', 'customer types', 'lines']) AS "grouping", gross_sales FROM (
+            SELECT CAST(sum(gross_revenue) AS DECIMAL(38,4)) AS gross_sales FROM facts WHERE transaction_type = 'SALE')""",
         "parse_dates_by_source": f"""SELECT source, invoice_date AS date_text,
             {_TS.format(_PARSE.format('invoice_date'))} AS iso_date, count(*) AS n_lines FROM texts GROUP BY 1, 2, 3""",
         "combine_sources": f"SELECT {_LINE_COLUMNS}, CAST(CASE WHEN source = 'source2' THEN 0 ELSE 1 END AS INT) AS source_priority FROM combined",

@@ -187,7 +187,8 @@ def _csv_roundtrip(i: Inputs) -> DataFrame:
         told = F.when(code.endswith("7"), F.concat(F.lit('a "b", '), "Description", F.lit("\nc"))).when(
             code.endswith("5"), F.lit("n/a")).otherwise(F.col("Description"))
         raw.select(list(headers)).withColumn("Description", told).write.option("header", True).option("encoding", encoding).option(
-            "quote", '"').option("escape", '"').option("escapeQuotes", True).csv(f"{root}/{name}")
+            "quote", '"').option("escape", '"').option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/{name}")
         return f"{root}/{name}"
 
     first = read_source1(i.spark, written(i.raw1, SOURCE1_COLUMNS, "ISO-8859-1", "source1"), multi_line=True)
