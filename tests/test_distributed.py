@@ -128,10 +128,11 @@ def test_hot_keys_of_joins_are_split(spark, no_broadcast):
     from tallyline.session import stage
 
     base = spark.range(0, 400_000, 1, 16)
-    lines = stage(base.select(hot_key().alias("code_key"), F.col("id").alias("invoice_no"),
+    # Only lines without a description are exchanged; their invoice numbers give the hot key its size.
+    lines = stage(base.select(hot_key().alias("code_key"), F.xxhash64("id").alias("invoice_no"),
                               F.when(F.col("id") % 2 == 0, F.concat(F.lit("D"), F.col("id"))).alias("description")), "hot-lines")
     names = stage(lines.groupBy("code_key").agg(F.max("description").alias("fill_name")), "hot-names")
-    filled = fill_description(lines, names).agg(F.count("*").alias("n"), F.max("description").alias("d"))
+    filled = fill_description(lines, names).agg(F.count("*").alias("n"), F.max("description").alias("d"), F.max("invoice_no").alias("i"))
     assert "skew=true" in final_plan(filled)
     assert filled.first().n == 400_000
 
