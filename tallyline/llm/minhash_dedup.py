@@ -12,10 +12,13 @@ Overlaps are then found in two steps, neither of which writes out the pairs of a
 * every member of a list is compared with the list's leader, the class whose values most others hold,
   and confirmed links are joined into components;
 * members of one list in different components are compared in blocks of ``BLOCK`` members, a block
-  pair per task group; blocks inside one component are not compared with each other.
+  pair at a time; blocks inside one component are not compared with each other. At first only each
+  member's nearest is confirmed, which joins most of a group. Then all pairs that are left apart are
+  compared, each in one of the lists that both are in: members of a pair that shares half of the
+  shorter sketch meet again with their full sets, and the linked components leave the task.
 
-Pairs pass the estimate of the similarity from the union sketch, with some slack, and then the exact
-count on full sets. Each step drops pairs only, never documents, and has no cap.
+The first pairs pass the estimate of the similarity from the union sketch, with some slack, before the
+exact count on full sets. Each step drops pairs only, never documents, and has no cap.
 
 Null and empty texts have an empty set and are linked with nothing; rows with a null id are linked with
 nothing and kept; repeated rows with one id are one document in links and stay repeated in the result.
@@ -27,7 +30,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,27 +82,107 @@ def _full_sets(width: int, table: np.ndarray, schema: pa.Schema):
     return run
 
 
-def _across(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block pair in different components whose sketches share half of the shorter one."""
-    rows = rows.drop_duplicates("id")
-    ids, parts = rows["id"].to_numpy(), rows["part"].to_numpy()
-    if (parts == parts[0]).all():
-        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    sizes = np.array([len(s) for s in rows["sketch"]])
-    values, which, times = np.unique(np.concatenate(rows["sketch"].to_list()), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(ids)), sizes)
-    column = np.cumsum(times > 1) - 1
+def _common(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many values each two rows share; ``values``: those of all rows, one row after another."""
+    n = len(sizes)
+    found, which, times = np.unique(values, return_inverse=True, return_counts=True)
     keep = times[which] > 1
-    owner, which = owner[keep], column[which[keep]]
-    shared = np.zeros((len(ids), len(ids)), np.float32)
-    for start in range(0, int((times > 1).sum()), 4096):
-        mine = (which >= start) & (which < start + 4096)
-        held = np.zeros((len(ids), 4096), np.float32)
-        held[owner[mine], which[mine] - start] = 1
+    owner, column = np.repeat(np.arange(n), sizes)[keep], (np.cumsum(times > 1) - 1)[which[keep]]
+    width, shared = int((times > 1).sum()), np.zeros((n, n), np.float32)
+    for start in range(0, width, 4096):
+        mine = (column >= start) & (column < start + 4096)
+        held = np.zeros((n, min(4096, width - start)), np.float32)
+        held[owner[mine], column[mine] - start] = 1
         shared += held @ held.T
-    need = np.ceil(np.minimum(sizes[:, None], sizes[None, :]) / 2)
-    i, j = np.nonzero(np.triu((shared >= need) & (parts[:, None] != parts[None, :]), 1))
-    return pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+    return shared
+
+
+def _pairs_apart(nearest: bool, schema: pa.Schema):
+    """Pairs in different components that share half of the shorter sketch, from sorted block pairs.
+
+    ``nearest``: of each member's pairs the one with the largest share, as (a, b). Otherwise the
+    members of all pairs, as (value, tile, id, part); a pair counts in the list with the smallest value
+    of those that both are in: every such list is compared.
+    """
+    def of(value: int, tile: int, ids, parts, sketches, sizes, listed, n_listed) -> tuple[np.ndarray, ...]:
+        none = (np.empty(0, np.int64),) * len(schema)
+        apart = parts[:, None] != parts[None, :]
+        if not apart.any():
+            return none
+        shorter = np.minimum(sizes[:, None], sizes[None, :])
+        shared = _common(sketches, sizes)
+        fit = apart & (2 * shared >= shorter)
+        if nearest:
+            share = np.where(fit, shared / shorter, 0)
+            i, j = np.arange(len(ids)), share.argmax(1)
+            i, j = i[share.max(1) > 0], j[share.max(1) > 0]
+        else:
+            if fit.any():
+                before = listed < value
+                fit &= _common(listed[before], np.bincount(np.repeat(np.arange(len(ids)), n_listed)[before], minlength=len(ids))) == 0
+            i = np.flatnonzero(fit.any(1))
+            return np.full(len(i), value), np.full(len(i), tile), ids[i], parts[i]
+        return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+
+    return _by_tile(("sketch", "listed"), of, schema)
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    return column.flatten().to_numpy(), column.value_lengths().to_numpy().astype(np.int64)
+
+
+def _by_tile(lists: tuple[str, ...], of, schema: pa.Schema):
+    """``of(value, tile, ids, parts, ...)`` on each run of equal (value, tile) in sorted rows.
+
+    For every name in ``lists`` it gets the run's values, one row after another, and their number per
+    row. One run at most is held over the end of a batch.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def given(rows: pa.Table, bounds: list[int]) -> pa.RecordBatch:
+            value, tile, ids, parts = (rows.column(n).to_numpy() for n in ("value", "tile", "id", "part"))
+            columns = []
+            for name in lists:
+                values, sizes = _flat(rows.column(name).combine_chunks())
+                columns.append((values, sizes, np.append(0, np.cumsum(sizes))))
+            found = [of(value[a], tile[a], ids[a:b], parts[a:b], *[x for v, n, at in columns for x in (v[at[a]:at[b]], n[a:b])])
+                     for a, b in zip(bounds, bounds[1:]) if b - a > 1]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *c]), pa.int64())
+                                               for c in (list(zip(*found)) or [()] * len(schema))], schema=schema)
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+            key = np.stack([rows.column(n).to_numpy() for n in ("value", "tile")])
+            bounds = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist()]
+            if bounds[-1]:
+                yield given(rows.slice(0, bounds[-1]), bounds)
+            held = rows.slice(bounds[-1])
+        if held is not None:
+            yield given(held, [0, held.num_rows])
+    return run
+
+
+# Items of full sets that are compared at once; a block pair with more is compared in pieces.
+ITEMS = 4_000_000
+
+
+def _linked_parts(value: int, tile: int, ids, parts, items, sizes) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of components that some of the rows link, by the exact similarity of full sets."""
+    at = np.append(0, np.cumsum(sizes))
+    cuts = [0, *(np.flatnonzero(np.diff(at[1:] // (ITEMS // 2))) + 1).tolist(), len(ids)]
+    ranges, found = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b], []
+    for n, (a, b) in enumerate(ranges):
+        for c, d in ranges[n:]:
+            rows = np.unique(np.r_[a:b, c:d])
+            both = _common(np.concatenate([items[at[a]:at[b]], items[at[c]:at[d]]][:1 + (c > a)]), sizes[rows]).astype(np.int64)
+            union = sizes[rows][:, None] + sizes[rows][None, :] - both
+            i, j = np.nonzero(np.triu((100 * both >= 75 * union) & (parts[rows][:, None] != parts[rows][None, :]), 1))
+            found.append(np.unique(np.sort(np.stack([parts[rows[i]], parts[rows[j]]], 1), 1), axis=0))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -122,27 +204,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return sizes.where("100 * both >= 75 * (na + nb - both)").select("a", "b")
 
 
-def _blocks_across(lists: DataFrame) -> DataFrame:
-    """Pairs (a, b) with enough common values from lists (value, id, part, sketch) that hold several parts."""
+def _apart(lists: DataFrame, parts: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
+    """Rows of ``_pairs_apart`` over lists (value, id, listed) whose members are in several parts."""
+    lists = lists.join(parts, "id", "left").select("value", "id", "listed", F.coalesce("component", "id").alias("part"))
     sizes = lists.groupBy("value", "part").agg(F.count("*").alias("in_part"))
     open_lists = sizes.groupBy("value").agg(
         F.count("*").alias("parts"), F.sum(F.when(F.col("in_part") <= BLOCK, F.col("in_part")).otherwise(0)).alias("in_small"))
     open_lists = open_lists.where("parts > 1").drop("parts")
-    rows = lists.join(sizes, ["value", "part"]).join(open_lists, "value")
+    rows = lists.join(sizes, ["value", "part"]).join(open_lists, "value").join(sketches, "id")
     large = F.col("in_part") > BLOCK
-    rows = rows.select(
-        "value", "id", "part", "sketch",
+    rows = staged(rows.select(
+        "value", "id", "part", "sketch", "listed",
         F.when(large, F.col("part")).otherwise(F.lit(-1).cast("long")).alias("class"),
         F.when(large, F.pmod(F.xxhash64("id"), F.ceil(F.col("in_part") / BLOCK)))
-        .otherwise(F.pmod(F.xxhash64("part"), F.greatest(F.lit(1), F.ceil(F.col("in_small") / BLOCK)))).alias("block"))
-    rows = staged(rows, "open-lists")
+        .otherwise(F.pmod(F.xxhash64("part"), F.greatest(F.lit(1), F.ceil(F.col("in_small") / BLOCK)))).alias("block")), "open-lists")
     blocks = rows.select("value", "class", "block").distinct()
     first = blocks.select("value", F.struct("class", "block").alias("x"))
     second = blocks.select("value", F.struct("class", "block").alias("y"))
+    # A block pair inside one part has nothing apart; blocks of small parts are compared with themselves too.
     tiles = first.join(second, "value").where("x <= y AND NOT (x.class = y.class AND x.class <> -1)")
     sides = tiles.select("value", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("side"))
     sides = sides.select("value", F.xxhash64("x", "y").alias("tile"), "side.class", "side.block")
-    return rows.join(sides, ["value", "class", "block"]).groupBy("value", "tile").applyInPandas(_across, "a long, b long")
+    names = ("a", "b") if nearest else ("value", "tile", "id", "part")
+    schema = pa.schema([(name, pa.int64()) for name in names])
+    dealt = rows.join(sides, ["value", "class", "block"]).select("value", "tile", "id", "part", "sketch", "listed")
+    return dealt.repartition("value", "tile").sortWithinPartitions("value", "tile").mapInArrow(
+        _pairs_apart(nearest, schema), ", ".join(f"{name} long" for name in names))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,12 +268,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     sets = staged(found.join(met, "id", "left_semi").dropDuplicates(["id"]), "sets")
     links = staged(_confirmed(stars, sets), "links")
 
-    # Members of one list that are still apart.
-    parts = connected_components(links)
-    apart = lists.join(leaders.select("value"), "value", "left_semi").join(parts, "id", "left").select(
-        "value", "id", F.coalesce("component", "id").alias("part")).join(sketches, "id")
-    more = staged(_likely(_blocks_across(apart).distinct(), sketches), "across")
-    links = links.unionByName(_confirmed(more, sets))
+    # Members of one list that are still apart: first with their nearest, then each with each.
+    full = lists.join(leaders.select("value"), "value", "left_semi").join(
+        lists.groupBy("id").agg(F.collect_list("value").alias("listed")), "id").select("value", "id", "listed")
+    full = staged(full, "full-lists")
+    pairs = _apart(full, connected_components(links), sketches, nearest=True).distinct()
+    links = staged(links.unionByName(_confirmed(_likely(pairs, sketches), sets)), "links")
+    members = _apart(full, connected_components(links), sketches, nearest=False).join(sets, "id")
+    linked = members.repartition("value", "tile").sortWithinPartitions("value", "tile").mapInArrow(
+        _by_tile(("items",), _linked_parts, pa.schema([("a", pa.int64()), ("b", pa.int64())])), "a long, b long")
+    links = links.unionByName(linked)
 
     parts = connected_components(links)
     reached = classes.select("mark", "id").join(parts, "id", "left").select(
