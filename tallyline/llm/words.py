@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 # Words are remembered up to this number, then forgotten all at once: a bound on a worker's memory.
 CACHED_WORDS = 400_000
+CACHED_PIECES = 1_000_000
 
 # Below U+0180, without one letter that lower-cases out of that range, lower-casing and the letter
 # and number classes are the same in every Unicode version, and NFC changes nothing.
@@ -61,7 +62,7 @@ class WordIds(dict):
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            if len(self.pieces) >= CACHED_WORDS:
+            if len(self.pieces) >= CACHED_PIECES:
                 self.pieces.clear()
             written = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
             packed = self.packed
