@@ -18,10 +18,10 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 1024
 _MAGIC = b"TLCM"
 _HEAD = struct.Struct("<4sHHQIII")
-_SLOTS1, _SLOTS2 = 1024, 2048
+_SLOTS1, _SLOTS2 = 256, 512
 _SHIFT = 20
 _NONE = 0xFFFF
 _GAIN, _LIMIT = 32, 4000
