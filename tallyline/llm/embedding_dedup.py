@@ -6,8 +6,8 @@ are as many as a pair at the least cosine needs to meet in one of them with prob
 Members of a bucket are compared in blocks of at most ``BLOCK`` by one matrix product in double
 precision. A larger bucket is cut into blocks and every pair of its blocks is one piece of work, so no
 bucket is capped and none is gathered in one task. A pair counts in the first table where its codes
-agree. Per block pair only each vector's number of links and one edge to the smallest linked vector
-leave the task, never the pairs.
+agree. Per block pair only each vector's number of links and one edge to the smallest vector of its
+component among the block pair's links leave the task, never the pairs.
 
 Vectors that are null, zero or hold null or non-finite components are linked with nothing. Vectors of
 different lengths are not compared. Rows with a null id keep their row and are linked with nothing;
@@ -66,13 +66,29 @@ def _codes(bits: int, tables: int, schema: pa.Schema):
     return run
 
 
+def _merged(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``root``, the least member of each member's component, after the links (i, j) are added."""
+    while True:
+        i, j = root[i], root[j]
+        apart = i != j
+        if not apart.any():
+            return root
+        i, j = i[apart], j[apart]
+        np.minimum.at(root, np.maximum(i, j), np.minimum(i, j))
+        while not np.array_equal(further := root[root], root):
+            root = further
+
+
 def _compared(left: np.ndarray, vectors: np.ndarray, codes: np.ndarray, table: int, copies: np.ndarray, ids: np.ndarray,
               least: float, cut: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links per member (weighed by copies) and the smallest vector it is linked with, in one block pair.
+    """Links per member (weighed by copies) and the smallest vector of its component, in one block pair.
 
-    ``left``: whether a member is of the first block; within one block (not ``cut``) all are.
+    ``left``: whether a member is of the first block; within one block (not ``cut``) all are. The
+    components are those of all links in the block pair, so one edge per member to its root spans them.
     """
-    links, root = np.zeros(len(ids), np.int64), ids.copy()
+    order = np.argsort(ids)
+    rank = np.argsort(order)
+    links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
     rows = np.flatnonzero(left)
     cols = np.flatnonzero(~left) if cut else rows
     for start in range(0, len(rows), 256):
@@ -81,15 +97,14 @@ def _compared(left: np.ndarray, vectors: np.ndarray, codes: np.ndarray, table: i
         i, j = some[i], cols[j]
         if not cut:
             i, j = i[i < j], j[i < j]
-        np.minimum.at(root, i, ids[j])
-        np.minimum.at(root, j, ids[i])
+        root = _merged(root, rank[i], rank[j])
         if table:
             new = np.ones(len(i), bool)
             for t in range(table):
                 new &= codes[i, t] != codes[j, t]
             i, j = i[new], j[new]
         links += np.bincount(i, copies[j], len(ids)).astype(np.int64) + np.bincount(j, copies[i], len(ids)).astype(np.int64)
-    return links, root
+    return links, ids[order][root[rank]]
 
 
 def _links(least: float, schema: pa.Schema):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import connected_components
-from tallyline.llm.embedding_dedup import near_vectors
+from tallyline.llm.embedding_dedup import _compared, near_vectors
 from tallyline.llm.line_dedup import dedup_lines, repeated_units
 from tallyline.llm.minhash_dedup import keep_first_of_group, near_duplicates
 
@@ -130,6 +130,42 @@ def test_near_vectors(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+@pytest.mark.parametrize("cut", [False, True])
+def test_links_of_a_block_pair_are_spanned(cut):
+    """Chains whose members each have a lower-numbered neighbour elsewhere: 1-5, 5-6, 6-2, and random graphs."""
+    angles = {1: 0, 5: 20, 6: 40, 2: 60, 9: 200}
+    cases = [(np.array(list(angles)), np.array([[np.cos(np.radians(a)), np.sin(np.radians(a))] for a in angles.values()]), 0.93)]
+    rnd = np.random.default_rng(4)
+    for _ in range(20):
+        v = rnd.standard_normal((400, 3))
+        cases.append((rnd.permutation(10_000)[:400], v / np.linalg.norm(v, axis=1, keepdims=True), 0.995))
+    for ids, v, least in cases:
+        n, groups = len(ids), Groups()
+        left = np.arange(n) % 2 == 0 if cut else np.ones(n, bool)
+        links = [(i, j) for i, j in zip(*np.nonzero(v @ v.T >= least)) if i < j and (not cut or left[i] != left[j])]
+        for i, j in links:
+            groups.join(int(ids[i]), int(ids[j]))
+        counts, root = _compared(left, v, np.zeros((n, 1), np.int32), 0, np.ones(n, np.int64), ids, least, cut)
+        assert root.tolist() == [groups.root(int(i)) for i in ids]
+        assert counts.tolist() == np.bincount(np.ravel(links), minlength=n).tolist()
+
+
+def test_near_vectors_of_loose_groups(spark):
+    """Members around a centre of which most pairs are below the least cosine: groups hold by chains."""
+    rnd, rows = np.random.default_rng(6), []
+    for _ in range(100):
+        centre = rnd.standard_normal(64)
+        rows += list(centre / np.linalg.norm(centre) + 0.37 * rnd.standard_normal((20, 64)) / 8)
+    rows = [(int(i), v.tolist()) for i, v in zip(rnd.permutation(len(rows)), rows)]
+    found = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    groups = Groups()
+    for i, j in zip(*np.nonzero(x @ x.T >= 0.9)):
+        groups.join(rows[i][0], rows[j][0])
+    assert {r["vec_id"]: r["component_id"] for r in found} == {k: groups.root(k) for k, _ in rows}
+
+
 def test_line_dedup_deletes_later_runs(spark):
     long_line = " ".join(f"w{i}" for i in range(50))
     rows = [
