@@ -1,10 +1,12 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Examples are a bounded sample of labelled documents (``EXAMPLES``, those with the smallest hash of
-their id); near copies among them count once. Terms are words and beginnings of words; of these the
-index holds the ``TERMS`` most associated with either label among the examples, as others only add
-noise to a cosine. Document frequencies are counted over all documents. Examples with equal vectors
-are one entry with its numbers of toxic and clean examples. An entry's postings lie in blocks with
+their id). Terms are words and beginnings of words; of these the index holds the ``TERMS`` most
+associated with either label among all examples, as others only add noise to a cosine. Document
+frequencies are counted over all documents. An example whose shingles have a similarity of 3/4 with
+those of one with a smaller id that shares one of four minima with it, confirmed on the full sets, joins
+it; such examples and those with equal vectors are one entry with its numbers of toxic and clean
+examples, so that no example and no label is lost. An entry's postings lie in blocks with
 their largest weight per term, so that the blocks are visited from the best bound on and left as soon
 as no other block can hold one of the ``NEAREST`` entries; the search is exact. Entries vote with a
 power of their cosine, and an isotonic fit on the examples' own votes, each without itself, turns
@@ -32,6 +34,8 @@ from tallyline.llm.store import staged
 from tallyline.llm.words import CACHED_WORDS, texts_of
 
 EXAMPLES, TERMS, NEAREST, BLOCK = 20_000, 4096, 24, 64
+# Members of one leader that are compared with it in one place.
+MEMBERS = 256
 # A term is held by this many examples at least, and this many standard errors more often by one label.
 LEAST_EXAMPLES, LEAST_Z = 6, 5.0
 POWER = 6
@@ -63,16 +67,38 @@ class _Known(dict):
 
 
 _EXAMPLE = pa.schema([("id", pa.int64()), ("toxic", pa.int32()), ("text", pa.string()),
-                      *[(f"m{i}", pa.int64()) for i in range(4)]])
+                      ("items", pa.list_(pa.int64())), ("minima", pa.list_(pa.int64()))])
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Four minima of each text's shingles, under four orders."""
+    """Each text's shingles, and their four minima under four orders."""
     turns = np.array([0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F])
     for batch in batches:
         sets = [shingle_sets([t])[0] for t in texts_of(batch.column("text"))]
-        minima = [[int((s ^ t).min()) if len(s) else 0 for s in sets] for t in turns]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(m, pa.int64()) for m in minima]], schema=_EXAMPLE)
+        minima = [[int((s ^ t).min()) for t in turns] if len(s) else [] for s in sets]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.list_(pa.int64())) for c in (sets, minima)]], schema=_EXAMPLE)
+
+
+def near_copies(examples: DataFrame) -> dict[int, int]:
+    """Examples (id, items, minima) that join another one -> that one, which has a smaller id and joins none."""
+    minima = examples.select("id", F.posexplode("minima").alias("turn", "value"))
+    leaders = minima.groupBy("turn", "value").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    pairs = minima.join(F.broadcast(leaders.drop("n")), ["turn", "value"]).where("id <> leader").select("id", "leader").distinct()
+    pairs = staged(pairs, "example-pairs")  # four per example at most
+    sizes = pairs.groupBy("leader").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
+    first = sizes.join(examples.select(F.col("id").alias("leader"), F.col("items").alias("ib")), "leader").select(
+        "leader", "ib", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    second = pairs.join(F.broadcast(sizes), "leader").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).join(
+        examples.select("id", F.col("items").alias("ia")), "id")
+    both = second.join(first, ["leader", "part"]).select(
+        "id", "leader", F.size("ia").cast("long").alias("na"), F.size("ib").cast("long").alias("nb"),
+        F.size(F.array_intersect("ia", "ib")).cast("long").alias("both"))
+    confirmed = both.where("100 * both >= 75 * (na + nb - both)").select("id", "leader").collect()  # four per example at most
+    joined: dict[int, int] = {}
+    for key, leader in sorted(map(tuple, confirmed)):
+        if leader not in joined:
+            joined.setdefault(key, leader)
+    return joined
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,12 +190,19 @@ class BlockMaxIndex:
 class Examples:
     """The fitted model: term weights, the index, the votes of its entries and the calibration."""
 
-    def __init__(self, rows: list[tuple[int, int, list[int], list[int]]], frequencies: np.ndarray, n_docs: int):
+    def __init__(self, rows: list[tuple[int, int, list[int], list[int]]], frequencies: np.ndarray, n_docs: int,
+                 joined: dict[int, int] | None = None):
+        """``rows``: (id, toxic, terms, times); ``joined``: ids that count in the entry of another one."""
+        joined, held_by = joined or {}, {}
         self.idf = np.log((1 + n_docs) / (1 + frequencies)) + 1
         entries: dict[bytes, list] = {}
         for key, toxic, terms, times in sorted(rows, key=lambda r: r[0]):
-            vector = self.unit(np.array(terms, np.int64), np.array(times))
-            held = entries.setdefault(vector[0].tobytes() + np.round(vector[1], 9).tobytes(), [vector, [], 0])
+            if key in joined:
+                held = held_by[joined[key]]
+            else:
+                vector = self.unit(np.array(terms, np.int64), np.array(times))
+                held = entries.setdefault(vector[0].tobytes() + np.round(vector[1], 9).tobytes(), [vector, [], 0])
+                held_by[key] = held
             held[1].append(key)
             held[2] += toxic
         empty = entries.pop(b"", [None, [], 0])
@@ -270,19 +303,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_docs: DataFrame | None =
         F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("id")).groupBy("id").agg(F.max("toxic").alias("toxic"))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(EXAMPLES)  # so many rows at most: small enough to be broadcast
     texts = named(docs if label_docs is None else label_docs).join(F.broadcast(sample), "id").select("id", "toxic", "text")
-    examples = texts.dropDuplicates(["id"]).mapInArrow(
-        _sketched, "id long, toxic int, text string, m0 long, m1 long, m2 long, m3 long")
-    for turn in range(4):
-        examples = examples.dropDuplicates([f"m{turn}"])
-    examples = staged(examples.select("id", "toxic", "text"), "examples")
+    examples = staged(texts.dropDuplicates(["id"]).mapInArrow(
+        _sketched, "id long, toxic int, text string, items array<long>, minima array<long>"), "examples")
+    joined = near_copies(examples)
+    examples = examples.select("id", "toxic", "text")
 
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     counts = examples.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     share = (F.col("a") + F.col("b")) / F.lit(max(n1 + n0, 1))
-    z = (F.col("a") / F.lit(max(n1, 1)) - F.col("b") / F.lit(max(n0, 1))) / F.sqrt(
-        share * (1 - share) * F.lit(1 / max(n1, 1) + 1 / max(n0, 1)))
+    # A term of all examples has no error; it tells nothing and stays out with a null.
+    z = F.try_divide(F.col("a") / F.lit(max(n1, 1)) - F.col("b") / F.lit(max(n0, 1)), F.sqrt(
+        share * (1 - share) * F.lit(1 / max(n1, 1) + 1 / max(n0, 1))))
     chosen = counts.where(f"a + b >= {LEAST_EXAMPLES}").withColumn("z", F.abs(z)).where(
         F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS)
     terms = [r["term"] for r in chosen.select("term").collect()]  # TERMS at most
@@ -295,6 +328,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_docs: DataFrame | None =
         frequencies[term] = count
     rows = examples.select("id", "text").mapInArrow(_vectors(numbers), schema).join(
         F.broadcast(examples.select("id", "toxic")), "id").select("id", "toxic", "terms", "times").collect()  # EXAMPLES at most
-    model = Examples([tuple(r) for r in rows], frequencies, vectors.count())
+    model = Examples([tuple(r) for r in rows], frequencies, vectors.count(), joined)
     return vectors.mapInArrow(_scores(model), "id long, score double, evidence array<long>, cosines array<double>").select(
         F.col("id").alias(id_col), "score", "evidence", "cosines")

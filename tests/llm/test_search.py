@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from checks.compare import difference, duck
 from tallyline.llm import bloom
+from tallyline.llm import toxicity as toxicity_module
 from tallyline.llm.queries import oracle_sql, queries
 from tallyline.llm.topk_search import bounded_scores, top_k
-from tallyline.llm.toxicity import BlockMaxIndex, held_out, isotonic, toxicity
+from tallyline.llm.toxicity import BlockMaxIndex, Examples, held_out, isotonic, toxicity
 from tallyline.llm.url_filter import judge_urls
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -112,6 +113,31 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["doc_id"]: r["score"] for r in toxicity(docs, turned).collect()} == {r["doc_id"]: r["score"] for r in scored.collect()}
 
 
+def test_toxicity_keeps_examples_with_a_common_passage(spark):
+    """Texts that share most of their words, but less than 3/4 of their shingles, are examples of their own."""
+    rnd, passage = np.random.default_rng(1), " ".join(f"p{n}" for n in range(60))
+    docs, labels = [], []
+    for i in range(400):
+        own = [f"u{n}" for n in rnd.integers(0, 10**6, 24)]
+        own[5] = own[15] = "vile" if i % 4 < 2 else "kind"
+        docs.append((i, f"{passage} {' '.join(own)}"))
+        labels.append((i, int(i % 4 < 2)))
+    scored = toxicity(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert all((r["score"] >= 0.5) == (r["doc_id"] % 4 < 2) for r in scored.collect())
+
+
+def test_near_copies_keep_their_number_and_labels(spark):
+    words = [f"w{n}" for n in range(100)]
+    texts = {5: words, 3: ["x"] + words[1:], 8: words[:99] + ["y"], 9: words, 20: words[:50] + [f"z{n}" for n in range(50)]}
+    rows = [(k, 0, " ".join(t)) for k, t in texts.items()]
+    sketched = spark.createDataFrame(rows, "id long, toxic int, text string").mapInArrow(toxicity_module._sketched, "id long, toxic int, text string, items array<long>, minima array<long>")
+    joined = toxicity_module.near_copies(sketched)
+    assert joined == {5: 3, 8: 3, 9: 3}
+    model = Examples([(3, 0, [0], [1]), (5, 1, [0, 1], [1, 1]), (8, 1, [1], [2]), (9, 0, [], []), (20, 1, [1], [1])],
+                     np.ones(2), 9, joined)
+    assert dict(zip(model.keys, zip(model.n, model.toxic))) == {3: (4, 2), 20: (1, 1)} and model.prior == 0.6
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 11)] + [(1, 0, 0), (None, 1, 0), (3, None, 0), (4, 7, 0)],
                                    "doc_id long, toxic int, id int")
