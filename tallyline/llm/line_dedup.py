@@ -6,7 +6,7 @@ selected: equal units have equal minima, so every repeated unit has a repeated f
 whose fingerprint occurs in one place only are dropped before anything else is exchanged. The places
 of the others are joined with the first place of an equal unit, in the order of document id and line.
 A unit that occurs earlier, without overlapping it in the same document, is deleted; adjacent and
-overlapping ones make up a run, extended both ways as far as the text repeats.
+overlapping ones make up a run. All units are compared; matches are not extended line by line.
 
 The first place is a minimum, combined before the exchange, so a line that is everywhere does not
 meet in one task and no pairs are written out. Null texts stay null, empty ones empty. Rows with a
