@@ -15,6 +15,8 @@ from tallyline.llm.embedding_dedup import near_vectors
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.minhash_dedup import near_duplicates
 from tallyline.llm.packing import pack
+from tallyline.llm.quality import held_out as quality_held_out
+from tallyline.llm.quality import quality
 from tallyline.llm.token_counts import token_counts
 from tallyline.llm.token_files import read_token_files, write_token_files
 from tallyline.llm.topk_search import top_k
@@ -114,6 +116,12 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality_held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -126,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_token_files": op9_token_files,
         "op10_topk_search": op10_topk_search,
+        "op11_quality": op11_quality,
         "pipeline": corpus_pipeline.run,
     }
 
