@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.bpe import bpe_decode, bpe_encode
 from tallyline.llm.embedding_dedup import near_vectors
 from tallyline.llm.line_dedup import dedup_lines
+from tallyline.llm.merkle import manifest
 from tallyline.llm.minhash_dedup import near_duplicates
 from tallyline.llm.packing import pack
 from tallyline.llm.quality import held_out as quality_held_out
@@ -122,6 +123,61 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 0
+    return manifest(_table(spark, sf_dir, "documents"), tampered)
+
+
+# Levels from all leaves at once by window, crc32 from its table; proofs from the nodes beside each path.
+OP12_SQL = """
+WITH RECURSIVE bits AS (
+  SELECT range AS byte, CAST(range AS BIGINT) AS v, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT byte, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY byte) AS t FROM bits WHERE k = 8),
+given AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+         || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail,
+         xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda a, c: xor(t[(xor(a, c) & 255) + 1], a >> 8))) % 7 = 0 AS tampered
+  FROM documents, crc),
+hashed AS (
+  SELECT r, doc_id, lang, coalesce(tampered, false) AS tampered,
+         sha256(head || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') || tail) AS leaf,
+         sha256(head || coalesce(octet_length(encode(CAST(n_chars + 1 AS VARCHAR))) || ':' || (n_chars + 1), '-') || tail) AS altered
+  FROM given),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g
+  FROM hashed),
+tree AS (
+  SELECT g, 0 AS k, i, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT g, k + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY g, k, n, i // 2),
+subroots AS (SELECT g, h, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS k, g AS i, n, h FROM subroots
+  UNION ALL
+  SELECT k + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY k, n, i // 2),
+climb AS (
+  SELECT r, g, false AS up, 0 AS k, i, n, '' AS proof, CASE WHEN tampered THEN altered ELSE leaf END AS f FROM leaves
+  UNION ALL
+  SELECT c.r, c.g, c.up OR c.n = 1, CASE WHEN c.n = 1 THEN 0 ELSE c.k + 1 END, CASE WHEN c.n = 1 THEN c.g ELSE c.i // 2 END,
+         CASE WHEN c.n = 1 THEN (SELECT count(*) FROM subroots) ELSE (c.n + 1) // 2 END,
+         CASE WHEN c.n = 1 THEN c.proof ELSE c.proof || coalesce(s.h, '') END,
+         CASE WHEN c.n = 1 THEN c.f WHEN c.i % 2 = 1 THEN sha256(coalesce(s.h, '') || c.f) ELSE sha256(c.f || coalesce(s.h, '')) END
+  FROM climb c LEFT JOIN (SELECT false AS up, g, k, i, h FROM tree UNION ALL SELECT true, -1, k, i, h FROM top) s
+    ON s.up = c.up AND s.g = CASE WHEN c.up THEN -1 ELSE c.g END AND s.k = c.k AND s.i = xor(c.i, 1) AND c.n > 1
+  WHERE c.n > 1 OR NOT c.up),
+folded AS (SELECT r, proof, f FROM climb WHERE up AND n = 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.f AS folded_root, f.f = t.h AS verified
+FROM leaves l JOIN folded f ON f.r = l.r JOIN subroots s ON s.g = l.g CROSS JOIN (SELECT h FROM top WHERE n = 1) t
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -135,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_files": op9_token_files,
         "op10_topk_search": op10_topk_search,
         "op11_quality": op11_quality,
+        "op12_merkle_manifest": op12_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -169,4 +226,5 @@ FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op7_url_filter": OP7_SQL, "op10_topk_search": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op7_url_filter": OP7_SQL, "op10_topk_search": OP10_SQL,
+            "op12_merkle_manifest": OP12_SQL}
