@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.bpe import bpe_decode, bpe_encode
+from tallyline.llm.divergence import divergence
 from tallyline.llm.embedding_dedup import near_vectors
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.merkle import manifest
@@ -178,6 +179,44 @@ FROM leaves l JOIN folded f ON f.r = l.r JOIN subroots s ON s.g = l.g CROSS JOIN
 """
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents),
+words AS (SELECT r, lang, source, unnest(found) AS term FROM given),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM given),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.n, 0) + 5 * s.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 5)) // (s.n + 5 * s.v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes s ON s.lang = g.lang
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -192,6 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_topk_search": op10_topk_search,
         "op11_quality": op11_quality,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_source_divergence": op13_source_divergence,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -227,4 +267,4 @@ FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_line_dedup": OP1_SQL, "op7_url_filter": OP7_SQL, "op10_topk_search": OP10_SQL,
-            "op12_merkle_manifest": OP12_SQL}
+            "op12_merkle_manifest": OP12_SQL, "op13_source_divergence": OP13_SQL}
