@@ -376,6 +376,15 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN year(date_id) < 1998 THEN CAST(-1 AS DECIMAL(38,4)) ELSE CAST(net_revenue AS DECIMAL(38,4)) END AS net_revenue,
             CASE WHEN year(date_id) < 1998 THEN 0 ELSE {_int('sale_count')} END AS sale_count FROM daily""",
         "idempotent_rerun": """SELECT count(*) - count(DISTINCT source_row_hash) AS new_facts, CAST(0 AS BIGINT) AS changed_rollup_rows FROM facts""",
+        "rollup_by_deltas": f"""SELECT {_DAILY_COLUMNS}, CAST(CASE WHEN year(date_id) <= 1996 THEN 1
+            WHEN year(date_id) <= 1998 THEN 2 ELSE 3 END AS BIGINT) AS load_no FROM daily""",
+        "loads_logged": """SELECT run_id, 'SUCCESS' AS status, (SELECT count(*) FROM hashed WHERE year(date_id) BETWEEN seen AND last) AS records_extracted,
+            (SELECT count(*) FROM facts WHERE year(date_id) BETWEEN fresh AND last) AS records_loaded,
+            (SELECT count(*) FROM rejected) AS records_rejected
+            FROM (VALUES ('a', 0, 0, 1996), ('b', 1995, 1997, 1998), ('c', 0, 1999, 9999)) v(run_id, seen, fresh, last)""",
+        "unpublished_load": """SELECT seen, CAST(year(date_id) AS INT) AS year, count(*) AS facts, count(*) AS rolled_up
+            FROM facts JOIN (VALUES ('while it is not published', 1996), ('after the next load', 9999)) v(seen, last)
+            ON year(date_id) <= last GROUP BY seen, year(date_id)""",
         # business questions
         "q1_monthly_net_sales": _Q1,
         "q2_category_revenue": f"""SELECT category, {_money('g')} AS revenue_bruto_total, {_money('r')} AS total_devoluciones,

@@ -16,7 +16,8 @@ from tallyline.functions import dates
 from tallyline.operators import (
     catalogue, categories, cleaning, dimensions, facts, ingest, profiling, quality, rejects, upserts,
 )
-from tallyline.plans import business, metrics
+from tallyline.plans import business, daily_run, metrics
+from tallyline.plans.daily_run import Cleaned, Warehouse
 from tallyline.plans.tables import append_by_month, read_table
 from tallyline.schemas import (
     BAD_PRICE, CANONICAL_COLUMNS, FACT_TRANSACTIONS, NO_CODE, NO_DESCRIPTION, NOT_NUMERIC, SOURCE1_COLUMNS, SOURCE2_COLUMNS,
@@ -169,6 +170,52 @@ def _rerun(i: Inputs) -> DataFrame:
         "changed_rollup_rows", changed.agg(F.count("*").alias("n")).scalar())
 
 
+_LOADS = {"a": "year(date_id) <= 1996", "b": "year(date_id) BETWEEN 1995 AND 1998", "c": "true"}
+
+
+def _loaded(i: Inputs) -> Warehouse:
+    """A warehouse after three loads that overlap, each published as a whole."""
+    warehouse = Warehouse(i.spark, f"{staging_root(i.spark)}/warehouse-{uuid.uuid4().hex[:12]}", FIRST_DAY, LAST_DAY)
+    lines = facts.fact_transactions(i.valid)
+    for run_id, part in _LOADS.items():
+        daily_run.load(warehouse, _part(i, lines.where(part)), run_id, "2001-12-31")
+    return warehouse
+
+
+def _part(i: Inputs, lines: DataFrame) -> Cleaned:
+    incoming = stage(lines, "incoming")
+    return Cleaned(i.products, i.customers, incoming, i.rejected, incoming.count())
+
+
+def _rollup_by_deltas(i: Inputs) -> DataFrame:
+    """The rollup to which each load has added its new facts, and the load that changed each row last."""
+    return _loaded(i).daily().drop("updated_at", "month")
+
+
+def _loads_logged(i: Inputs) -> DataFrame:
+    return _loaded(i).runs().select("run_id", "status", "records_extracted", "records_loaded", "records_rejected")
+
+
+def _unpublished_load(i: Inputs) -> DataFrame:
+    """What readers see of the facts of each year after one load, while a second one has written everything
+    but is not published; and after a third one, which found nothing of it."""
+    warehouse = Warehouse(i.spark, f"{staging_root(i.spark)}/warehouse-{uuid.uuid4().hex[:12]}", FIRST_DAY, LAST_DAY)
+    lines = facts.fact_transactions(i.valid)
+    daily_run.load(warehouse, _part(i, lines.where(_LOADS["a"])), "a", "2001-12-31")
+    every = _part(i, lines)
+    daily_run.prepare_load(warehouse.pin(), every, "broken", "2001-12-31")
+
+    def seen(at: str) -> DataFrame:
+        by_year = lambda df: df.groupBy(F.year("date_id").alias("year"))
+        stored = by_year(warehouse.facts()).agg(F.count("*").alias("facts"))
+        rolled = by_year(warehouse.daily()).agg(F.sum(F.col("sale_count") + F.col("return_count")).alias("rolled_up"))
+        return stage(stored.join(rolled, "year").select(F.lit(at).alias("seen"), "year", "facts", "rolled_up"), "seen")
+
+    during = seen("while it is not published")
+    daily_run.load(warehouse, every, "again", "2001-12-31")
+    return during.unionByName(seen("after the next load"))
+
+
 def _run_row(i: Inputs) -> DataFrame:
     return i.run_row.drop("started_at", "finished_at", "notes")
 
@@ -320,6 +367,9 @@ _QUERIES: dict[str, Query] = {
     "insert_transactions": _inserted_transactions,
     "upsert_daily_revenue": _upserted_daily,
     "idempotent_rerun": _rerun,
+    "rollup_by_deltas": _rollup_by_deltas,
+    "loads_logged": _loads_logged,
+    "unpublished_load": _unpublished_load,
     # business questions
     "q1_monthly_net_sales": lambda i: business.monthly_net_sales(i.daily),
     "q2_category_revenue": lambda i: business.category_revenue(i.daily, i.products),

@@ -114,7 +114,7 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         warehouse = Warehouse(spark, options.warehouse, options.first_day, options.last_day)
         if options.command == "report":
-            print_rows(report(warehouse, options.name))
+            print_rows(report(warehouse.pin(), options.name))
         else:
             warehouse.register_views()
             print_rows(spark.sql(options.text))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -26,7 +29,47 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in store.listStatus(place)] if store.exists(place) else []
 
 
-def mark(spark: SparkSession, path: str) -> None:
-    """An empty file: its name is what it says."""
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file; runs no job."""
+    store, place = _open(spark, path)
+    stream = store.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    store, place = _open(spark, path)
+    stream = store.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a whole file appear under a name that is free; False if another one has taken the name.
+
+    The file is written under a hidden name and renamed without overwriting, which the storage does in
+    one step. A local disk would overwrite, so that there a link is made instead.
+    """
     store, place = _open(spark, path)
-    store.create(place, True).close()
+    hidden = f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}"
+    write_text(spark, hidden, text)
+    java = spark.sparkContext._jvm
+    try:
+        if store.getUri().getScheme() == "file":
+            os.link(_open(spark, hidden)[1].toUri().getPath(), place.toUri().getPath())
+        else:
+            options = spark.sparkContext._gateway.new_array(java.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = java.org.apache.hadoop.fs.Options.Rename.NONE
+            java.org.apache.hadoop.fs.FileContext.getFileContext(
+                place.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(_open(spark, hidden)[1], place, options)
+        return True
+    except Exception:
+        if store.exists(place):
+            return False
+        raise
+    finally:
+        delete(spark, hidden)

@@ -39,11 +39,10 @@ def calendar(spark: SparkSession, first: str = "2009-01-01", last: str = "2012-1
     )
 
 
-def calendar_of(spark: SparkSession, facts: DataFrame, first: str, last: str) -> DataFrame:
-    """The calendar from ``first`` to ``last``, widened to whole years around the dates of the facts."""
-    found = facts.agg(F.min("date_id").alias("a"), F.max("date_id").alias("b")).first()
-    if found["a"] is not None:
-        first, last = min(first, f"{found['a'].year:04}-01-01"), max(last, f"{found['b'].year:04}-12-31")
+def calendar_around(spark: SparkSession, days: tuple[str, str] | None, first: str, last: str) -> DataFrame:
+    """The calendar from ``first`` to ``last``, widened to whole years around the given days."""
+    if days:
+        first, last = min(first, f"{days[0][:4]}-01-01"), max(last, f"{days[1][:4]}-12-31")
     return calendar(spark, first, last)
 
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline import folders
-
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> DataFrame:
     """The stored table, or an empty one before the first load."""
@@ -23,36 +23,48 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, partition:
         return spark.createDataFrame([], full)
 
 
-def _published(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """Numbers and folders of the published snapshots, from the names of their marks."""
-    found = [name.split("=", 1)[1].split("-", 1) for name in folders.names(spark, f"{path}/_published") if "=" in name]
-    return sorted((int(number), f"snapshot={number}-{rest}") for number, rest in found)
-
-
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest published snapshot of a table; empty before the first one. Runs no job."""
-    snapshots = _published(spark, path)
-    if not snapshots:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/{snapshots[-1][1]}")
+def read_folders(spark: SparkSession, path: str, names: list[str], schema: T.StructType, by: list[str] | None = None) -> DataFrame:
+    """The named folders of a table; columns in ``by`` come from the names of folders below ``path``."""
+    full = T.StructType([*schema.fields, *[T.StructField(name, T.StringType()) for name in by or []]])
+    if not names:
+        return spark.createDataFrame([], full)
+    reader = spark.read.schema(full).option("basePath", path) if by else spark.read.schema(full)
+    return reader.parquet(*[f"{path}/{name}" for name in names])
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """A new folder of its own name, published by a mark once it is whole.
+@contextmanager
+def bucketed_table(spark: SparkSession, path: str, schema: T.StructType, by: list[str], key: str, buckets: int,
+                   partitions: list[dict[str, str]]) -> Iterator[DataFrame]:
+    """A folder of bucketed files as a table of the session's catalogue, while the block runs.
 
-    A write that breaks off leaves an unpublished folder, which no reader sees and the next write
-    removes. The snapshot before the new one is kept for readers that have begun; older ones go.
+    Spark knows from the table that rows lie in their buckets, so that a join on the key exchanges only
+    the other side. Of a folder partitioned ``by`` columns only the listed partitions are read. The table is
+    forgotten at the end, its files stay.
     """
-    spark = df.sparkSession
-    snapshots = _published(spark, path)
-    name = f"snapshot={(snapshots[-1][0] if snapshots else 0) + 1}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").parquet(f"{path}/{name}")
-    folders.mark(spark, f"{path}/_published/{name}")
-    kept = {name, *[folder for _, folder in snapshots[-1:]]}
-    for place in (f"{path}/_published", path):
-        for old in folders.names(spark, place):
-            if old.startswith("snapshot=") and old not in kept:
-                folders.delete(spark, f"{place}/{old}")
+    name = f"tallyline_{uuid.uuid4().hex[:12]}"
+    text = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    columns = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema], *[f"`{c}` string" for c in by]])
+    partitioned = f"PARTITIONED BY ({', '.join(by)}) " if by else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned}"
+              f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION {text(path)}")
+    try:
+        if partitions:
+            listed = " ".join("PARTITION (" + ", ".join(f"{c} = {text(v)}" for c, v in p.items()) + ")" for p in partitions)
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {listed}")
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, by: list[str] | None = None) -> None:
+    """Write a new folder in buckets of the key's hash, inside partitions ``by`` columns. ``df``: dealt to as
+    many partitions by the key, so that each task fills one bucket."""
+    name = f"tallyline_{uuid.uuid4().hex[:12]}"
+    try:
+        writer = df.write.format("parquet").mode("errorifexists").bucketBy(buckets, key).option("path", path)
+        (writer.partitionBy(*by) if by else writer).saveAsTable(name)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")  # the files lie in a folder of their own and stay
 
 
 def with_month(df: DataFrame) -> DataFrame:
@@ -65,19 +77,3 @@ def append_by_month(df: DataFrame, path: str) -> None:
     The rebalance hint gives each month few, evenly sized files and splits a month that is large.
     """
     with_month(df).hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(path)
-
-
-def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace only the partitions that occur in ``df``; ``df`` must not read from ``path``."""
-    (df.hint("rebalance", partition).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
-
-
-# Characters that Spark writes as % and two digits in the names of partition folders.
-_ESCAPED = set("\"#%'*/:=?\\{[]^") | {chr(n) for n in [*range(1, 32), 127]}
-
-
-def replace_partition(df: DataFrame, path: str, partition: str, value: str) -> None:
-    """Make ``df`` the whole content of one partition, also if it has no rows."""
-    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
-    df.write.mode("overwrite").parquet(f"{path}/{partition}={name}")

@@ -97,10 +97,12 @@ REJECT_LOG = T.StructType([
     T.StructField("rejection_reason", T.StringType()),
     T.StructField("raw_data", T.StringType()),
 ])
-# As stored: with the time a row was written.
+# As stored: with the time a row was written, and in the rollup the number of the load that changed it last.
 STORED_FACTS = T.StructType([*FACT_TRANSACTIONS.fields, T.StructField("loaded_at", T.TimestampType())])
-STORED_DAILY = T.StructType([*FACT_DAILY_REVENUE.fields, T.StructField("updated_at", T.TimestampType())])
-STORED_REJECTS = T.StructType([*REJECT_LOG.fields, T.StructField("rejected_at", T.TimestampType())])
+STORED_DAILY = T.StructType([*FACT_DAILY_REVENUE.fields, T.StructField("updated_at", T.TimestampType()),
+                             T.StructField("load_no", T.LongType())])
+STORED_REJECTS = T.StructType([*REJECT_LOG.fields, T.StructField("rejected_at", T.TimestampType()),
+                               T.StructField("run_id", T.StringType())])
 PIPELINE_RUNS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("dag_run_id", T.StringType()),
