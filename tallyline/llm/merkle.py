@@ -9,7 +9,8 @@ a time form a part, whose ten lower levels are built in one group; the roots of
 until one node remains. A first recursive query climbs from the root of each part to the root of all, so
 that a part has its own copy of that path; a second one climbs from each leaf, appends the sibling as a
 row and folds the (perhaps tampered) hash with it. As nodes are joined within their part, no node is met
-by more than 1,024 climbing rows, however high it is.
+by more than 1,024 climbing rows, however high it is; and as nodes lie in buckets of their part, a step of
+the climb exchanges the climbing rows alone.
 
 Null keys come first, rows with equal keys are ordered by their leaf; equal rows are leaves of their own
 and each gets a proof. Null fields are written ``-``, other values as their UTF-8 length, ``:`` and value.
@@ -19,14 +20,17 @@ the root, with a proof over nothing. No rows give no rows. Other columns are ign
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.ranking import number_rows
+from tallyline.functions.ranking import number_rows, running_total
 from tallyline.llm.store import staged
+from tallyline.plans.tables import bucketed_table, write_bucketed
+from tallyline.session import staging_root
 
 PART = 10  # levels in a part
 TOP = -1  # the tree over the subroots
@@ -42,15 +46,18 @@ def leaf(fields: list[Column]) -> Column:
 
 
 @contextmanager
-def unlimited_recursion(spark: SparkSession) -> Iterator[None]:
-    """A climb has as many rows as leaves times levels; Spark stops at a million of them by default."""
-    name = "spark.sql.cteRecursionRowLimit"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "-1")
+def climbing(spark: SparkSession) -> Iterator[None]:
+    """A climb has as many rows as leaves times levels; Spark stops at a million of them by default. Rows that
+    are dealt by their part alone may be joined on part and node as they lie."""
+    wanted = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 # Levels of one part, from the given one up: two neighbours, or a last one alone, become their hash.
@@ -130,7 +137,9 @@ WITH RECURSIVE climb (leaf_id, first, node, step, folded, sibling) AS (
                          WHEN n.before THEN concat(lower(hex(n.sibling)), lower(hex(c.folded)))
                          ELSE concat(lower(hex(c.folded)), lower(hex(n.sibling))) END, 256)), n.sibling
   FROM climb c JOIN {nodes} n ON n.first = c.first AND n.node = c.node)
-SELECT leaf_id, step, folded, sibling FROM climb
+SELECT leaf_id, max_by(folded, step) AS folded, sha2(array_join(transform(array_sort(collect_list(
+         CASE WHEN sibling IS NOT NULL THEN struct(step, sibling) END)), p -> lower(hex(p.sibling))), ''), 256) AS proof
+FROM climb GROUP BY leaf_id
 """
 
 
@@ -148,9 +157,10 @@ def manifest(docs: DataFrame, tampered: Column, id_col: str = "doc_id", group_co
     leaves = staged(own.select(F.monotonically_increasing_id().alias("leaf_id"), "id", "grp", "hash", F.when(
         F.coalesce(tampered, F.lit(False)), F.col("altered")).otherwise(F.col("hash")).alias("start")), "leaves")
     order = [F.col(c).asc_nulls_first() for c in ("grp", "id", "hash", "leaf_id")]
-    placed = staged(number_rows(leaves, order, "position"), "placed-leaves")
-    groups = staged(placed.groupBy("grp").agg(F.min("position").alias("tree"), F.count("*").alias("n")), "groups")
-    placed = staged(placed.join(groups, placed["grp"].eqNullSafe(groups["grp"])).select(
+    sizes = leaves.groupBy("grp").agg(F.count("*").alias("n"))
+    groups = staged(running_total(sizes, [F.col("grp").asc_nulls_first()], "n", "tree", "all").drop("all"), "groups")
+    placed = number_rows(leaves, order, "position")
+    placed = staged(placed.join(groups.withColumnRenamed("grp", "of"), F.col("grp").eqNullSafe(F.col("of"))).select(
         "leaf_id", "id", "hash", "start", "tree", "n", (F.col("position") - F.col("tree")).alias("idx")), "tree-leaves")
 
     trees = _tree(placed.select("tree", "idx", "hash", "n"), "tree-parts")
@@ -173,21 +183,21 @@ def manifest(docs: DataFrame, tampered: Column, id_col: str = "doc_id", group_co
         first, F.when(alone, TOP).otherwise(F.col("tree")).alias("tree"), F.when(alone, 0).otherwise(PART).alias("level"),
         F.when(alone, F.col("rank")).otherwise(F.col("part")).alias("idx"))
     height = F.least(F.lit(PART), F.when(F.col("n") > 1, F.expr("length(bin(n - 1))")).otherwise(0))
-    with unlimited_recursion(spark):
+    with climbing(spark):
         paths = staged(spark.sql(_PATHS, starts=staged(starts, "part-roots"), nodes=staged(above, "upper-links")), "paths")
         inside = links(trees[0], ["tree"]).select(
             first, F.expr("(1 << (size - 1 - k)) + i").alias("node"), "sibling", "before").withColumn("parent", F.shiftright("node", 1))
         path = paths.select("first", F.expr("IF(step = 1, 1, 1 - step)").alias("node"), "sibling", "before", (-F.col("step")).alias("parent"))
-        nodes = staged(inside.unionByName(path), "links")
+        nodes, buckets = inside.unionByName(path), int(spark.conf.get("spark.sql.shuffle.partitions"))
+        folder = f"{staging_root(spark)}/llm-links-{uuid.uuid4().hex[:12]}"
+        write_bucketed(nodes.repartition(buckets, "first"), folder, "first", buckets)
         begin = placed.withColumn("h", height).select(
             "leaf_id", (F.col("tree") + F.shiftleft(F.shiftright("idx", PART), PART)).alias("first"),
             F.expr(f"CAST((1 << h) + idx % {1 << PART} AS INT)").alias("node"), F.col("start").alias("hash"))
-        climbed = staged(spark.sql(_CLIMB, starts=begin, nodes=nodes), "climb")
-    folded = climbed.groupBy("leaf_id").agg(
-        F.max_by("folded", "step").alias("folded"),
-        F.array_sort(F.collect_list(F.when(F.col("sibling").isNotNull(), F.struct("step", "sibling")))).alias("proof"))
+        with bucketed_table(spark, folder, nodes.schema, [], "first", buckets, []) as table:
+            folded = staged(spark.sql(_CLIMB, starts=begin, nodes=table.hint("merge")), "climb")
     name = lambda c: F.lower(F.hex(c))
     return folded.join(placed, "leaf_id").join(subroots.select("tree", F.col("hash").alias("subroot")), "tree").select(
         F.col("id").alias(id_col), name("hash").alias("leaf"), name("subroot").alias("subroot"), name(F.lit(root)).alias("root"),
-        F.sha2(F.concat_ws("", F.transform("proof.sibling", name)), 256).alias("proof_sha256"),
+        F.col("proof").alias("proof_sha256"),
         name("folded").alias("folded_root"), (F.col("folded") == F.lit(root)).alias("verified"))
