@@ -1,9 +1,11 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Examples are a bounded sample of labelled documents (``EXAMPLES``, those with the smallest hash of
-their id). Terms are words and beginnings of words; of these the index holds the ``TERMS`` most
-associated with either label among all examples, as others only add noise to a cosine. Document
-frequencies are counted over all documents. An example whose shingles have a similarity of 3/4 with
+their id). Terms are words and beginnings of words; of these the index holds all that are associated with
+either label among all examples, as others only add noise to a cosine. Associated is what is held by
+``LEAST_EXAMPLES`` and lies ``LEAST_Z`` standard errors apart; among n examples a term can lie the square
+root of n apart at most, so that few examples ask for ``LEAST_SHARE`` of that root, and an eighth of them.
+Document frequencies are counted over all documents. An example whose shingles have a similarity of 3/4 with
 those of one with a smaller id that shares one of four minima with it, confirmed on the full sets, joins
 it; such examples and those with equal vectors are one entry with its numbers of toxic and clean
 examples, so that no example and no label is lost. An entry's postings lie in blocks with
@@ -26,19 +28,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.shingles import shingle_sets
 from tallyline.llm.store import staged
-from tallyline.llm.words import CACHED_WORDS, texts_of
+from tallyline.llm.words import forget_encoders, texts_of
 
-EXAMPLES, TERMS, NEAREST, BLOCK = 20_000, 4096, 24, 64
+EXAMPLES, NEAREST, BLOCK = 20_000, 24, 64
 # Members of one leader that are compared with it in one place.
 MEMBERS = 256
 # A term is held by this many examples at least, and this many standard errors more often by one label.
-LEAST_EXAMPLES, LEAST_Z = 6, 5.0
+LEAST_EXAMPLES, LEAST_Z, LEAST_SHARE = 3, 4.0, 0.35
 POWER = 6
+# Pieces of text that a worker remembers, and the bytes of all of them and their terms.
+CACHED_PIECES, CACHED_BYTES = 200_000, 16 << 20
+# Vectors whose score a worker remembers.
+REMEMBERED = 20_000
 _WORD = re.compile(r"\w+")
 
 
@@ -56,13 +63,16 @@ class _Known(dict):
 
     def __init__(self, numbers: dict[str, int]):
         super().__init__()
-        self.numbers = numbers
+        self.numbers, self.held = numbers, 0
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
         found = [self.numbers[t] for t in terms_of(word) if t in self.numbers]
-        made = self[word] = np.array(found, np.int32).tobytes()
+        made = np.array(found, np.int32).tobytes()
+        self.held += len(word) + len(made)
+        if len(self) >= CACHED_PIECES or self.held > CACHED_BYTES:
+            self.clear()
+            self.held = len(word) + len(made)
+        self[word] = made
         return made
 
 
@@ -73,7 +83,8 @@ _EXAMPLE = pa.schema([("id", pa.int64()), ("toxic", pa.int32()), ("text", pa.str
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's shingles, and their four minima under four orders."""
     turns = np.array([0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F])
-    for batch in batches:
+    forget_encoders()
+    for batch in (whole.slice(at, 256) for whole in batches for at in range(0, len(whole), 256)):
         sets = [shingle_sets([t])[0] for t in texts_of(batch.column("text"))]
         minima = [[int((s ^ t).min()) for t in turns] if len(s) else [] for s in sets]
         yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.list_(pa.int64())) for c in (sets, minima)]], schema=_EXAMPLE)
@@ -125,6 +136,7 @@ _VECTOR = pa.schema([("id", pa.int64()), ("terms", pa.list_(pa.int32())), ("time
 
 def _vectors(numbers: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         known = _Known(numbers)
         for batch in batches:
             terms, times = [], []
@@ -138,6 +150,17 @@ def _vectors(numbers: dict[str, int]):
     return run
 
 
+def _frequencies(terms: int):
+    """Documents that hold each term: one row per term that a task has met."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(terms, np.int64)
+        for batch in batches:
+            held += np.bincount(pc.list_flatten(batch.column("terms")).to_numpy(), minlength=terms)
+        found = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(held[found])], names=["term", "n"])
+    return run
+
+
 class BlockMaxIndex:
     """Exact nearest entries by cosine. ``vectors``: (terms, weights) of unit length, one per entry."""
 
@@ -255,7 +278,7 @@ class Examples:
         if found is None:
             vote, entries, cosines = self.vote(*self.unit(np.array(terms, np.int64), np.array(times)))
             score = float(np.interp(vote, *self.steps)) if len(self.steps[0]) else 0.0
-            if len(self.remembered) > 100_000:
+            if len(self.remembered) >= REMEMBERED:
                 self.remembered.clear()
             found = self.remembered[key] = score, [self.keys[e] for e in entries[:5]], cosines[:5].tolist()
         return found
@@ -316,15 +339,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_docs: DataFrame | None =
     # A term of all examples has no error; it tells nothing and stays out with a null.
     z = F.try_divide(F.col("a") / F.lit(max(n1, 1)) - F.col("b") / F.lit(max(n0, 1)), F.sqrt(
         share * (1 - share) * F.lit(1 / max(n1, 1) + 1 / max(n0, 1))))
-    chosen = counts.where(f"a + b >= {LEAST_EXAMPLES}").withColumn("z", F.abs(z)).where(
-        F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS)
-    terms = [r["term"] for r in chosen.select("term").collect()]  # TERMS at most
+    least = max(min(LEAST_EXAMPLES, (n1 + n0) // 8), 2)
+    chosen = counts.where(F.col("a") + F.col("b") >= least).withColumn("z", F.abs(z)).where(
+        F.col("z") >= min(LEAST_Z, LEAST_SHARE * (n1 + n0) ** 0.5))
+    terms = sorted(r["term"] for r in chosen.select("term").collect())  # words of EXAMPLES texts at most
     numbers = {t: i for i, t in enumerate(terms)}
 
     schema = "id long, terms array<int>, times array<int>"
     vectors = staged(named(docs).mapInArrow(_vectors(numbers), schema), "term-vectors")
     frequencies = np.zeros(len(terms))
-    for term, count in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():  # TERMS at most
+    held = vectors.select("terms").mapInArrow(_frequencies(len(terms)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    for term, count in held.collect():  # one row per indexed term
         frequencies[term] = count
     rows = examples.select("id", "text").mapInArrow(_vectors(numbers), schema).join(
         F.broadcast(examples.select("id", "toxic")), "id").select("id", "toxic", "terms", "times").collect()  # EXAMPLES at most

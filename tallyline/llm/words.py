@@ -101,6 +101,11 @@ def word_ids(path: str) -> WordIds:
     return _known[path]
 
 
+def forget_encoders() -> None:
+    """Called at the start of other operators' tasks: a reused worker holds the memory of one of them only."""
+    _known.clear()
+
+
 def texts_of(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 of each text, null as empty."""
     for text in column.cast(pa.binary()):

@@ -113,6 +113,21 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["doc_id"]: r["score"] for r in toxicity(docs, turned).collect()} == {r["doc_id"]: r["score"] for r in scored.collect()}
 
 
+@pytest.mark.parametrize("labelled", [24, 400])
+def test_few_or_many_separable_texts_are_told_apart(spark, labelled):
+    rnd = np.random.default_rng(labelled)
+    docs = [(i, f"{('kind sweet words', 'vile nasty words')[i % 2]} {' '.join(f'u{n}' for n in rnd.integers(0, 10**6, 12))}") for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(labelled)], "doc_id long, toxic int")
+    scored = toxicity(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()
+    assert all((r["score"] >= 0.3) == (r["doc_id"] % 2 == 1) for r in scored)
+
+
+def test_frequencies_are_one_row_per_term_and_task(spark):
+    rows = spark.createDataFrame([([0, 2],), ([2],), ([],)] * 40, "terms array<int>").repartition(3)
+    counted = rows.mapInArrow(toxicity_module._frequencies(4), "term int, n long")
+    assert counted.count() <= 6 and {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()} == {0: 40, 2: 80}
+
+
 def test_toxicity_keeps_examples_with_a_common_passage(spark):
     """Texts that share most of their words, but less than 3/4 of their shingles, are examples of their own."""
     rnd, passage = np.random.default_rng(1), " ".join(f"p{n}" for n in range(60))
