@@ -40,7 +40,7 @@ EXAMPLES, NEAREST, BLOCK = 20_000, 24, 64
 # Members of one leader that are compared with it in one place.
 MEMBERS = 256
 # A term is held by this many examples at least, and this many standard errors more often by one label.
-LEAST_EXAMPLES, LEAST_Z, LEAST_SHARE = 3, 4.0, 0.35
+LEAST_EXAMPLES, LEAST_Z, LEAST_SHARE = 3, 4.0, 0.4
 POWER = 6
 # Pieces of text that a worker remembers, and the bytes of all of them and their terms.
 CACHED_PIECES, CACHED_BYTES = 200_000, 16 << 20
