@@ -1,7 +1,8 @@
 """Deletion of repeated runs of lines, found by winnowing over line hashes.
 
 Lines are compared without blanks at their ends; blank lines are passed over. A unit is ``WINDOW``
-consecutive lines, or one line of at least ``LONG`` words. Of each unit the least line hash is
+consecutive lines, or one or two of at least ``LONG`` words together: so every run of as many lines or words
+that occurs again is made up of units. Of each unit the least line hash is
 selected: equal units have equal minima, so every repeated unit has a repeated fingerprint, and units
 whose fingerprint occurs in one place only are dropped before anything else is exchanged. The places
 of the others are joined with the first place of an equal unit, in the order of document id and line.
@@ -15,6 +16,7 @@ null id take no part and stay whole; repeated rows with one id are one place and
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm import bloom
-from tallyline.llm.store import staged
+from tallyline.llm.store import fresh, staged
 from tallyline.llm.words import texts_of
 
 WINDOW, LONG = 3, 50
@@ -43,9 +45,14 @@ def units_of(text: bytes) -> Iterator[tuple[int, int, int, int, int, bytes]]:
     for i in range(len(kept) - WINDOW + 1):
         whole = xxhash.xxh3_128_digest(b"".join(marks[i:i + WINDOW]))
         yield i, WINDOW, kept[i][0], kept[i + WINDOW - 1][0], int(hashes[i:i + WINDOW].min()), whole
-    for i, (n, line) in enumerate(kept):
-        if len(line) >= 2 * LONG - 1 and len(line.split()) >= LONG:
+    # Fewer lines are a unit if they hold enough words; so many words need as many letters and gaps.
+    words = functools.cache(lambda i: len(kept[i][1].split()))
+    sizes = [len(line) for _, line in kept]
+    for i, (n, _) in enumerate(kept):
+        if sizes[i] >= 2 * LONG - 1 and words(i) >= LONG:
             yield i, 1, n, n, int(hashes[i]), marks[i]
+        if sum(sizes[i:i + 2]) >= 2 * LONG - 2 and i + 1 < len(kept) and words(i) + words(i + 1) >= LONG:
+            yield i, 2, n, kept[i + 1][0], int(hashes[i:i + 2].min()), xxhash.xxh3_128_digest(marks[i] + marks[i + 1])
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,17 +99,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Texts without such runs are not exchanged: a filter of bounded size on the ids lets them pass.
     """
-    runs = staged(repeated_runs(docs, id_col, text_col).select(F.col(id_col).alias("_run_id"), F.col("runs").alias("_runs")), "runs")
-    table = bloom.build(runs.select(F.xxhash64("_run_id").alias("hash")))
+    run_id, held, changes = fresh("run_id"), fresh("runs"), fresh("may_change")
+    runs = staged(repeated_runs(docs, id_col, text_col).select(F.col(id_col).alias(run_id), F.col("runs").alias(held)), "runs")
+    table = bloom.build(runs.select(F.xxhash64(run_id).alias("hash")))
 
     @F.pandas_udf("boolean")
     def may_change(hashes: pd.Series) -> pd.Series:
         return pd.Series(bloom.may_hold(table, hashes.to_numpy(np.int64)))
 
     key = F.col(id_col).cast("long")
-    marked = docs.withColumn("_may_change", key.isNotNull() & may_change(F.xxhash64(key)))
-    some = marked.where("_may_change").drop("_may_change")
-    some = some.join(runs, some[id_col].cast("long") == runs["_run_id"], "left").withColumn(
-        text_col, F.when(F.col("_runs").isNull() | F.col(text_col).isNull(), F.col(text_col)).otherwise(
-            _without(F.coalesce(text_col, F.lit("")), F.coalesce("_runs", F.array().cast("array<struct<first_line:bigint,last_line:bigint>>")))))
-    return marked.where("NOT _may_change").drop("_may_change").unionByName(some.drop("_run_id", "_runs"))
+    marked = docs.withColumn(changes, key.isNotNull() & may_change(F.xxhash64(key)))
+    some = marked.where(F.col(changes)).drop(changes)
+    some = some.join(runs, some[id_col].cast("long") == runs[run_id], "left").withColumn(
+        text_col, F.when(F.col(held).isNull() | F.col(text_col).isNull(), F.col(text_col)).otherwise(
+            _without(F.coalesce(text_col, F.lit("")), F.coalesce(held, F.array().cast("array<struct<first_line:bigint,last_line:bigint>>")))))
+    return marked.where(~F.col(changes)).drop(changes).unionByName(some.drop(run_id, held))

@@ -236,7 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-# Units by their text instead of hashes: a line, or three lines with a break between them.
+# Units by their text instead of hashes: one or two lines of many words, or three lines, with a break between them.
 OP1_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
@@ -250,7 +250,12 @@ units AS (
          line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS unit
   FROM kept WINDOW w AS (PARTITION BY doc_id ORDER BY n)
   UNION ALL
-  SELECT doc_id, place, 1, n, n, line FROM kept WHERE len(regexp_extract_all(line, '[^ \\t\\r\\v\\f]+')) >= 50),
+  SELECT doc_id, place, 1, n, n, line FROM kept WHERE len(regexp_extract_all(line, '[^ \\t\\r\\v\\f]+')) >= 50
+  UNION ALL
+  SELECT doc_id, place, 2, n, b, unit FROM (
+    SELECT doc_id, place, n, lead(n) OVER w AS b, line || chr(10) || lead(line) OVER w AS unit
+    FROM kept WINDOW w AS (PARTITION BY doc_id ORDER BY n))
+  WHERE len(regexp_extract_all(unit, '[^ \\n\\t\\r\\v\\f]+')) >= 50),
 placed AS (
   SELECT *, first_value(doc_id) OVER f AS d1, first_value(place) OVER f AS p1
   FROM units WHERE unit IS NOT NULL WINDOW f AS (PARTITION BY unit, lines ORDER BY doc_id, place)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from tallyline.session import stage
@@ -10,3 +12,8 @@ from tallyline.session import stage
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: cuts lineage, outlives executors."""
     return stage(df, f"llm-{name}")
+
+
+def fresh(name: str) -> str:
+    """A column name that no table has."""
+    return f"{name}_{uuid.uuid4().hex}"

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm import bloom
-from tallyline.llm.store import staged
+from tallyline.llm.store import fresh, staged
 
 
 def host_of(url: Column) -> Column:
@@ -68,7 +68,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, otherwise: str = "allow", ur
     hits = places.select("host", "path", F.explode(passed).alias("_hit")).select("host", "path", F.col("_hit._keys").alias("_key"))
     found = hits.join(entries.select("_key", "_verdict"), "_key").groupBy("host", "path").agg(
         F.max(F.struct(F.length("_key").alias("n"), F.col("_key").alias("rule"), F.col("_verdict").alias("verdict"))).alias("_best"))
-    found = found.select(F.col("host").alias("_h"), F.col("path").alias("_p"), "_best")
-    joined = judged.join(found, (judged["host"] == found["_h"]) & (judged["path"] == found["_p"]), "left")
-    return joined.select(*[joined[f"`{c}`"] for c in pages.columns], "host", "path", F.col("_best.rule").alias("rule"),
-                         F.coalesce("_best.verdict", F.lit(otherwise)).alias("verdict"))
+    h, p, best = fresh("host"), fresh("path"), fresh("best")
+    found = found.select(F.col("host").alias(h), F.col("path").alias(p), F.col("_best").alias(best))
+    joined = judged.join(found, (judged["host"] == found[h]) & (judged["path"] == found[p]), "left")
+    return joined.select(*[joined[f"`{c}`"] for c in pages.columns], "host", "path", F.col(f"{best}.rule").alias("rule"),
+                         F.coalesce(f"{best}.verdict", F.lit(otherwise)).alias("verdict"))

@@ -180,3 +180,41 @@ def test_line_dedup_deletes_later_runs(spark):
                      None: "a\nb\nc\nd", 9: "e", 10: "u\nv\nw"}
     assert {(r["id"], r["source_id"]) for r in repeated_units(docs).collect()} == {(2, 1), (5, 4), (6, 6), (9, 1)}
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def brute_lines(rows):
+    """Texts after deletion: a run of equal lines that stood earlier goes if it has three lines or 50 words."""
+    kept = [(key, [(n, line.strip()) for n, line in enumerate(text.split("\n")) if line.strip()]) for key, text in sorted(rows)]
+    first, gone = {}, defaultdict(set)
+    for key, lines in kept:
+        for size in range(1, 6):
+            for i in range(len(lines) - size + 1):
+                run = tuple(line for _, line in lines[i:i + size])
+                if size < 3 and sum(len(line.split()) for line in run) < 50:
+                    continue
+                where = first.setdefault(run, (key, i))
+                if where[0] != key or i >= where[1] + size:
+                    gone[key] |= set(range(lines[i][0], lines[i + size - 1][0] + 1))
+    return {key: "\n".join(line for n, line in enumerate(text.split("\n")) if n not in gone[key]) for key, text in rows}
+
+
+def test_line_dedup_equals_the_rule_on_whole_runs(spark):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    a, b, short = words("a", 34), words("b", 33), words("s", 15)
+    rows = [(1, f"x\n{a}\n{b}\ny"), (2, f"{a}\n \n{b}"), (3, f"p\n{a}\n{b}"), (4, a), (5, f"{short}\n{a}"), (6, f"{short}\n{a}\nz"),
+            (7, f"{short}\n{b}"), (8, f"{words('l', 60)}\nend"), (9, f"begin\n{words('l', 60)}\nend"), (10, f"{a}\n{b}\n{a}\n{b}\n{a}")]
+    rnd = np.random.default_rng(9)
+    lines = [words(c, int(n)) for c, n in zip("cdefghijk", rnd.integers(1, 60, 9))]
+    rows += [(20 + i, "\n".join(rnd.choice(lines, rnd.integers(1, 7)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in dedup_lines(docs).collect()}
+    assert found == brute_lines(rows)
+    assert found[2] == "" and found[3] == "p" and found[4] == a and found[6] == f"{short}\n{a}\nz"
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = ["_runs", "_run_id", "_may_change", "id", "mark", "finger", "hash"]
+    docs = spark.createDataFrame([(1, "a\nb\nc", *names), (2, "a\nb\nc\nd", *names)], ["doc_id", "text", *names])
+    cleaned = dedup_lines(docs)
+    assert cleaned.columns == docs.columns
+    assert sorted(map(tuple, cleaned.collect())) == [(1, "a\nb\nc", *names), (2, "d", *names)]

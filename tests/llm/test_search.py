@@ -45,6 +45,9 @@ def test_urls(spark):
         ("example.net/en/", "allow"), block, block, allow, block, allow, allow, allow, allow, ("b.c", "block"), allow,
         ("b.c", "block"), allow, block, block]
     assert found[None] == ("example.net/en/", "allow") and len(rows) == len(urls) + 1
+    odd = pages.selectExpr("*", "1 AS _best", "2 AS _h", "3 AS _p", "4 AS _key", "5 AS _pass", "6 AS _verdict")
+    names = ["_best", "_h", "_p", "_key", "_pass", "_verdict"]
+    assert {tuple(r[n] for n in names) for r in judge_urls(odd, rules).collect()} == {(1, 2, 3, 4, 5, 6)}
     assert judge_urls(pages.limit(0), rules).count() == 0
     assert {r["verdict"] for r in judge_urls(pages, rules.limit(0)).collect()} == {"allow"}
 
