@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.minhash_dedup import keep_first_of_group
 from tallyline.llm.packing import pack
-from tallyline.llm.store import staged
+from tallyline.llm.store import fresh, staged
 from tallyline.llm.toxicity import toxicity
 from tallyline.session import staging_root
 
@@ -26,16 +26,18 @@ TOXIC = 0.3
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; of repeated rows with one id all stay or all go."""
     scored = staged(toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select("doc_id", "score"), "scores")
-    toxic = scored.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias("_toxic")).distinct()
-    return docs.join(toxic, F.col("doc_id") == F.col("_toxic"), "left_anti")
+    toxic_id = fresh("toxic_id")
+    toxic = scored.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias(toxic_id)).distinct()
+    return docs.join(toxic, F.col("doc_id") == F.col(toxic_id), "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later repeated runs; a document of which nothing is left goes, one that was blank stays."""
     blank = lambda text: F.coalesce(F.trim(F.regexp_replace(text, r"\s+", " ")) == "", F.lit(True))
-    cleaned = dedup_lines(docs.withColumn("_was_blank", blank("text")))
+    was_blank = fresh("was_blank")
+    cleaned = dedup_lines(docs.withColumn(was_blank, blank("text")))
     counted = F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.where(F.col("_was_blank") | ~blank("text")).drop("_was_blank").withColumn("n_chars", counted)
+    return cleaned.where(F.col(was_blank) | ~blank("text")).drop(was_blank).withColumn("n_chars", counted)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
