@@ -43,16 +43,28 @@ def number_text(value: Column) -> Column:
 
 def _exact(value: Column) -> Column:
     # 24 digits leave 14 decimals for the quotient; wider sums would be rounded to 6.
-    return value.cast("decimal(24,4)")
+    return value.try_cast("decimal(24,4)")
 
 
 def quotient(part: Column, total: Column) -> Column:
-    """``part / total``; null when the total is 0."""
-    return F.try_divide(_exact(part), _exact(total))
+    """``part / total``; null when the total is 0.
+
+    Exact to 14 decimals while both sides have at most 24 digits. Larger sums are divided as DOUBLE, which
+    keeps 15 digits of the quotient; a quotient that 38 digits cannot hold is null.
+    """
+    exact = F.try_divide(_exact(part), _exact(total))
+    rough = F.try_divide(part.cast("double"), total.cast("double")).try_cast("decimal(38,14)")
+    fits = _exact(part).isNotNull() & _exact(total).isNotNull()
+    return F.when(fits, exact.cast("decimal(38,14)")).otherwise(rough)
+
+
+def hundredfold(part: Column, total: Column) -> Column:
+    """``100 * part / total``, not rounded."""
+    return F.try_multiply(quotient(part, total), F.lit(100))
 
 
 def percent(part: Column, total: Column, digits: int = 2) -> Column:
-    return rounded(quotient(part, total) * 100, digits)
+    return rounded(hundredfold(part, total), digits)
 
 
 def ratio(part: Column, total: Column, digits: int = 2) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.numbers import percent, quotient, ratio, rounded
+from tallyline.functions.numbers import hundredfold, percent, ratio, rounded
 from tallyline.functions.ranking import top_fraction_cut
 from tallyline.schemas import ALERT_TEXT, DAILY_MEASURES, NO_DESCRIPTION, SALE
 from tallyline.session import stage
@@ -175,7 +175,7 @@ def _critical_products(daily: DataFrame, products: DataFrame, min_sales: int, to
     cuts and the result: staged.
     """
     rate = F.coalesce(
-        F.when(F.col("gross_sales") > 0, quotient(F.col("total_returns"), F.col("gross_sales")) * 100),
+        F.when(F.col("gross_sales") > 0, hundredfold(F.col("total_returns"), F.col("gross_sales"))),
         F.lit(0),
     )
     relevant = product_totals(daily, products).where(F.col("sale_count") >= min_sales)

@@ -8,11 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline import session
+from tallyline.__main__ import report
 from tallyline.functions import dates
 from tallyline.functions.grouping import subtract_copies
+from tallyline.functions.numbers import percent
 from tallyline.operators import upserts
 from tallyline.operators.facts import daily_revenue
-from tallyline.plans import business
+from tallyline.plans import business, metrics
 from tallyline.plans.daily_run import Warehouse, run
 from tallyline.sources.lines import read_source1
 from tests.test_daily_run import SOURCE1, SOURCE2
@@ -59,6 +61,32 @@ def test_totals_beyond_eighteen_digits(spark):
     assert business.monthly_net_sales(daily).first().ventas_brutas == 60_000_000_000_000_000
 
 
+def test_reports_hold_the_largest_lines_that_are_stored(load):
+    largest = "1,A,MUG,1000000,1/5/2011 9:00,1e17,1,France\n2,B,MUG,-1000000,2/5/2011 9:00,1e17,,France\n"
+    counts, warehouse = load(largest + "3,A,MUG,1,2/6/2010 9:00,0.0001,1,Spain\n4,B,MUG,1,2/6/2010 9:00,1e17,1,Spain\n")
+    assert counts.inserted == 4
+    for name in ("q1", "q2", "q3a", "q3b", "q4", "q5", "q6a", "q6b", "q6c", "q7", "alerts"):
+        assert report(warehouse, name).collect() is not None
+    months = {r.periodo: r.pct_devolucion for r in report(warehouse, "q1").collect()}
+    assert months["2011-01"] == 0 and months["2011-02"] is None
+    shares = [r.pct_del_total_revenue for r in report(warehouse, "q4").collect()]
+    assert shares == [Decimal("100.00"), Decimal("0.00")]
+    totals = business.monthly_totals(warehouse.daily())
+    products = business.product_totals(warehouse.daily(), warehouse.products())
+    for frame in (metrics.yoy_net_growth(totals), metrics.mom_net_change(totals), metrics.season_share(totals), metrics.return_rate_vs_average(totals),
+                  metrics.anonymous_share(business.customer_type_totals(warehouse.facts(), warehouse.customers())),
+                  metrics.ticket_vs_home(business.country_totals(warehouse.facts()), "France"), metrics.top_n_net_total(products)):
+        assert frame.collect() is not None
+
+
+def test_quotients_of_any_size(spark):
+    cells = [("100000000000000000000000", "7"), ("1", "3"), ("1", "0"), ("9" * 32, "0.0001"), (None, "1"), ("200000000000000000000000", "400000000000000000000000")]
+    frame = spark.createDataFrame(cells, "a string, b string").selectExpr("cast(a as decimal(38,4)) a", "cast(b as decimal(38,4)) b")
+    found = [r[0] for r in frame.select(percent(F.col("a"), F.col("b"))).collect()]
+    assert abs(float(found[0]) / (1e25 / 7) - 1) < 1e-12
+    assert found[1:] == [Decimal("33.33"), None, None, None, Decimal("50.00")]
+
+
 def test_rerun_without_rejects_empties_its_log(load):
     bad = "1,A,MUG,x,1/5/2011 9:00,2,1,France\n2,,MUG,1,1/5/2011 9:00,2,1,France\n"
     assert load(bad, "manual: 1/2")[0].rejected == 2
