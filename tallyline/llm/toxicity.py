@@ -37,6 +37,8 @@ from tallyline.llm.store import staged
 from tallyline.llm.words import forget_encoders, texts_of
 
 EXAMPLES, NEAREST, BLOCK = 20_000, 24, 64
+# Blocks that a search reads first; each time after, it reads four times as many of those that may matter.
+FIRST_BLOCKS = 16
 # Members of one leader that are compared with it in one place.
 MEMBERS = 256
 # A term is held by this many examples at least, and this many standard errors more often by one label.
@@ -189,24 +191,29 @@ class BlockMaxIndex:
         bounds = np.bincount(self.block[segments], factor * self.top[segments], self.blocks)
         visit = np.argsort(-bounds, kind="stable")
         visit = visit[bounds[visit] > 0]
-        by_block = np.argsort(self.block[segments], kind="stable")
-        starts = np.searchsorted(self.block[segments][by_block], np.arange(self.blocks + 1))
-        entries, cosines = np.empty(0, np.int64), np.empty(0)
-        for at in range(0, len(visit), 8):
-            if len(cosines) >= k and bounds[visit[at]] < cosines[-1] - 1e-9:
-                break
-            found = []
-            for b in visit[at:at + 8]:
-                sums = np.zeros(BLOCK)
-                for s in by_block[starts[b]:starts[b + 1]]:
-                    part = slice(self.first[segments[s]], self.first[segments[s] + 1])
-                    sums[self.entry[part] - b * BLOCK] += factor[s] * self.weight[part]
-                hit = np.flatnonzero(sums)
-                found.append((hit + b * BLOCK, sums[hit]))
-            entries = np.concatenate([entries, *[e for e, _ in found]])
-            cosines = np.concatenate([cosines, *[c for _, c in found]])
+        of = self.block[segments]
+        entries, cosines, at, size = np.empty(0, np.int64), np.empty(0), 0, FIRST_BLOCKS
+        while at < len(visit):
+            chosen = visit[at:at + size]
+            if len(cosines) >= k:  # blocks that can hold something better
+                chosen = chosen[bounds[chosen] >= cosines[-1] - 1e-9]
+                if not len(chosen):
+                    break
+            wanted = np.zeros(self.blocks, bool)
+            wanted[chosen] = True
+            held = np.flatnonzero(wanted[of])
+            first = self.first[segments[held]]
+            sizes = self.first[segments[held] + 1] - first
+            postings = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            sums = np.bincount(self.entry[postings], np.repeat(factor[held], sizes) * self.weight[postings], self.n)
+            hit = np.flatnonzero(sums)
+            entries, cosines = np.concatenate([entries, hit]), np.concatenate([cosines, sums[hit]])
+            if len(cosines) > k:
+                near = np.flatnonzero(cosines >= np.partition(cosines, -k)[-k] - 1e-11)
+                entries, cosines = entries[near], cosines[near]
             best = np.lexsort((entries, -np.round(cosines, 12)))[:k]
             entries, cosines = entries[best], cosines[best]
+            at, size = at + size, size * 4
         return entries, cosines
 
 
