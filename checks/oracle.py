@@ -400,6 +400,8 @@ def oracle_sql() -> dict[str, str]:
         "q4_countries": _Q4.format(15),
         "q4_countries_top20": _Q4.format(20),
         "q5_anonymous_vs_identified": _Q5.format(""),
+        "q4_countries_of_months": _Q4.format(15),
+        "q5_customers_of_months": _Q5.format(""),
         "q5_with_flag": _Q5.format("is_anonymous,"),
         "q6a_unique_codes": "SELECT count(DISTINCT product_code) AS total_codigos_unicos FROM products",
         "q6b_undescribed_products": """SELECT p.product_code, p.canonical_name, p.category, count(f.source_row_hash) AS num_transacciones

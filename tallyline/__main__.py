@@ -28,14 +28,14 @@ PROFILES = ["null_report", "quantity_profile", "quantity_histogram", "price_prof
 
 def report(warehouse: Warehouse, name: str) -> DataFrame:
     daily, facts = warehouse.daily, warehouse.facts
-    products, customers = warehouse.products, warehouse.customers
+    products = warehouse.products
     reports = {
         "q1": lambda: business.monthly_net_sales(daily()),
         "q2": lambda: business.category_revenue(daily(), products()),
         "q3a": lambda: business.top_net_revenue(daily(), products()),
         "q3b": lambda: business.top_return_rate(daily(), products()),
-        "q4": lambda: business.countries(facts()),
-        "q5": lambda: business.anonymous_vs_identified(facts(), customers()),
+        "q4": lambda: business.country_report(business.country_totals_of_months(warehouse.monthly_sales())),
+        "q5": lambda: business.customer_type_report(business.customer_type_totals_of_months(warehouse.monthly_sales())),
         "q6a": lambda: business.unique_codes(products()),
         "q6b": lambda: business.undescribed_products(products(), facts()),
         "q6c": lambda: business.blank_names(products(), facts()),

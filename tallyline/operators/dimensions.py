@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.schemas import ANONYMOUS
 
 
+def is_anonymous() -> Column:
+    return F.col("customer_id") == ANONYMOUS
+
+
 def customers(lines: DataFrame) -> DataFrame:
-    return lines.select("customer_id").distinct().withColumn(
-        "is_anonymous", F.col("customer_id") == ANONYMOUS
-    )
+    return lines.select("customer_id").distinct().withColumn("is_anonymous", is_anonymous())
 
 
 def products(named: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import hundredfold, percent, ratio, rounded
 from tallyline.functions.ranking import top_fraction_cut
+from tallyline.operators.monthly import totals
 from tallyline.schemas import ALERT_TEXT, DAILY_MEASURES, NO_DESCRIPTION, SALE
 from tallyline.session import stage
 
@@ -98,8 +99,18 @@ def country_totals(facts: DataFrame) -> DataFrame:
     )
 
 
+def country_totals_of_months(monthly: DataFrame) -> DataFrame:
+    """The same from monthly sales: no fact is read."""
+    return totals(monthly, "country").select(
+        "country", F.col("invoices").alias("num_facturas"), F.col("lines").alias("num_lineas_venta"), "revenue")
+
+
 def countries(facts: DataFrame, n: int = 15) -> DataFrame:
-    per_country = stage(country_totals(facts), "country-totals")
+    return country_report(country_totals(facts), n)
+
+
+def country_report(country_totals: DataFrame, n: int = 15) -> DataFrame:
+    per_country = stage(country_totals, "country-totals")
     everything = per_country.agg(F.sum("revenue").alias("t")).scalar()
     return per_country.select(
         "country", "num_facturas", "num_lineas_venta",
@@ -126,10 +137,21 @@ def customer_type_totals(facts: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def customer_type_totals_of_months(monthly: DataFrame) -> DataFrame:
+    """The same from monthly sales: no fact is read."""
+    return totals(monthly, "is_anonymous").select(
+        "is_anonymous", F.col("customers").alias("num_clientes"), F.col("invoices").alias("num_facturas"),
+        F.col("lines").alias("num_lineas"), "revenue")
+
+
 def anonymous_vs_identified(facts: DataFrame, customers: DataFrame, with_flag: bool = False) -> DataFrame:
+    return customer_type_report(customer_type_totals(facts, customers), with_flag)
+
+
+def customer_type_report(customer_type_totals: DataFrame, with_flag: bool = False) -> DataFrame:
     label = F.when(F.col("is_anonymous"), "Sin cliente").otherwise("Identificado")
     flag = ["is_anonymous"] if with_flag else []
-    return customer_type_totals(facts, customers).orderBy("is_anonymous").select(
+    return customer_type_totals.orderBy("is_anonymous").select(
         *flag, label.alias("tipo_cliente"), "num_clientes", "num_facturas", "num_lineas",
         rounded(F.col("revenue")).alias("revenue_bruto"),
         ratio(F.col("revenue"), F.col("num_facturas")).alias("ticket_promedio"),

@@ -103,6 +103,18 @@ STORED_DAILY = T.StructType([*FACT_DAILY_REVENUE.fields, T.StructField("updated_
                              T.StructField("load_no", T.LongType())])
 STORED_REJECTS = T.StructType([*REJECT_LOG.fields, T.StructField("rejected_at", T.TimestampType()),
                                T.StructField("run_id", T.StringType())])
+# Sums of sales (kind sums) and bitmaps of numbered invoices and customers, see operators.monthly.
+MONTHLY_KEYS = ["country", "is_anonymous", "kind", "part"]
+MONTHLY_SALES = T.StructType([
+    T.StructField("country", T.StringType()),
+    T.StructField("is_anonymous", T.BooleanType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("part", T.LongType()),
+    T.StructField("bits", T.BinaryType()),
+    T.StructField("lines", T.LongType()),
+    T.StructField("revenue", T.DecimalType(38, 4)),
+])
+NUMBERS = T.StructType([T.StructField("key", T.StringType()), T.StructField("number", T.LongType())])
 PIPELINE_RUNS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("dag_run_id", T.StringType()),
