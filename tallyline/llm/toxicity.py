@@ -2,10 +2,11 @@
 
 Examples are a bounded sample of labelled documents (``EXAMPLES``, those with the smallest hash of
 their id). Terms are words and beginnings of words; of these the index holds all that are associated with
-either label among all examples, as others only add noise to a cosine. Associated is what is held by
-``LEAST_EXAMPLES`` and lies ``LEAST_Z`` standard errors apart; among n examples a term can lie the square
-root of n apart at most, so that few examples ask for ``LEAST_SHARE`` of that root, and an eighth of them.
-Document frequencies are counted over all documents. An example whose shingles have a similarity of 3/4 with
+either label among all examples, as others only add noise to a cosine. Associated is what one example in
+``EXAMPLES_A_TERM`` holds, three to six of them, and what lies so many standard errors apart as the largest
+of as many chance differences would, sqrt(2 ln(terms)). Among n examples a term can lie the square root of n
+apart at most, so that very few examples ask for ``LEAST_SHARE`` of that root, and an eighth of them. Document
+frequencies are counted over all documents. An example whose shingles have a similarity of 3/4 with
 those of one with a smaller id that shares one of four minima with it, confirmed on the full sets, joins
 it; such examples and those with equal vectors are one entry with its numbers of toxic and clean
 examples, so that no example and no label is lost. An entry's postings lie in blocks with
@@ -22,6 +23,7 @@ keys stay. Labels, language, source and key are no inputs of a score.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -41,8 +43,7 @@ EXAMPLES, NEAREST, BLOCK = 20_000, 24, 64
 FIRST_BLOCKS = 16
 # Members of one leader that are compared with it in one place.
 MEMBERS = 256
-# A term is held by this many examples at least, and this many standard errors more often by one label.
-LEAST_EXAMPLES, LEAST_Z, LEAST_SHARE = 3, 4.0, 0.4
+EXAMPLES_A_TERM, LEAST_SHARE = 500, 0.4
 POWER = 6
 # Pieces of text that a worker remembers, and the bytes of all of them and their terms.
 CACHED_PIECES, CACHED_BYTES = 200_000, 16 << 20
@@ -338,17 +339,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_docs: DataFrame | None =
     joined = near_copies(examples)
     examples = examples.select("id", "toxic", "text")
 
-    n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
+    by_label = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
+    n1, n0 = by_label.get(1, 0), by_label.get(0, 0)
     counts = examples.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     share = (F.col("a") + F.col("b")) / F.lit(max(n1 + n0, 1))
     # A term of all examples has no error; it tells nothing and stays out with a null.
     z = F.try_divide(F.col("a") / F.lit(max(n1, 1)) - F.col("b") / F.lit(max(n0, 1)), F.sqrt(
         share * (1 - share) * F.lit(1 / max(n1, 1) + 1 / max(n0, 1))))
-    least = max(min(LEAST_EXAMPLES, (n1 + n0) // 8), 2)
-    chosen = counts.where(F.col("a") + F.col("b") >= least).withColumn("z", F.abs(z)).where(
-        F.col("z") >= min(LEAST_Z, LEAST_SHARE * (n1 + n0) ** 0.5))
+    n = n1 + n0
+    least = max(min(min(max(n // EXAMPLES_A_TERM, 3), 6), n // 8), 2)
+    common = staged(counts.where(F.col("a") + F.col("b") >= least).withColumn("z", F.abs(z)), "common-terms")
+    chosen = common.where(F.col("z") >= min(LEAST_SHARE * n ** 0.5, (2 * math.log(max(common.count(), 2))) ** 0.5))
     terms = sorted(r["term"] for r in chosen.select("term").collect())  # words of EXAMPLES texts at most
     numbers = {t: i for i, t in enumerate(terms)}
 
