@@ -178,9 +178,9 @@ def blank_names(products: DataFrame, facts: DataFrame) -> DataFrame:
     """Products with an empty name. ``variaciones_codigo`` counts spellings of the code itself."""
     name = F.col("canonical_name")
     wanted = products.where(name.isNull() | (name == "")).select("product_code", "canonical_name", "category")
-    # Invoices are counted before the join, so that a product with very many lines is one row in it.
-    invoices = facts.select("product_code", "invoice_no").distinct().groupBy("product_code").agg(
-        F.count("invoice_no").alias("num_transacciones"))
+    # Only lines of these products are counted, and before the join, so that a product is one row in it.
+    lines = facts.select("product_code", "invoice_no").join(wanted.select("product_code"), "product_code", "left_semi")
+    invoices = lines.distinct().groupBy("product_code").agg(F.count("invoice_no").alias("num_transacciones"))
     # Products are unique by code: the spellings of one code are one.
     return wanted.join(invoices, "product_code").select(
         "product_code", F.col("canonical_name").alias("nombre_canonico"), "category", "num_transacciones",
