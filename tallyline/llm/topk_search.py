@@ -28,7 +28,7 @@ from tallyline.llm.store import staged
 
 BLOCK, GROUP, STEP = 4096, 2048, 256
 # Shares of each list that have been read when bounds are taken.
-DEPTHS = (0.5, 0.75)
+DEPTHS = (0.75, 0.9, 0.95)
 # Candidates that may be left, as a share of the block, when final scores are resolved one by one.
 FEW = 0.05
 
