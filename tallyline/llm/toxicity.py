@@ -3,8 +3,9 @@
 Examples are a bounded sample of labelled documents (``EXAMPLES``, those with the smallest hash of
 their id). Terms are words and beginnings of words; of these the index holds all that are associated with
 either label among all examples, as others only add noise to a cosine. Associated is what one example in
-``EXAMPLES_A_TERM`` holds, three to six of them, and what lies so many standard errors apart as the largest
-of as many chance differences would, sqrt(2 ln(terms)). Among n examples a term can lie the square root of n
+``EXAMPLES_A_TERM`` holds, three to six of them, what one label holds ``LEAST_LIFT`` times as often as the
+other, and what lies so many standard errors apart as the largest of as many chance differences would,
+sqrt(2 ln(terms)). Among n examples a term can lie the square root of n
 apart at most, so that very few examples ask for ``LEAST_SHARE`` of that root, and an eighth of them. Document
 frequencies are counted over all documents. An example whose shingles have a similarity of 3/4 with
 those of one with a smaller id that shares one of four minima with it, confirmed on the full sets, joins
@@ -43,7 +44,7 @@ EXAMPLES, NEAREST, BLOCK = 20_000, 24, 64
 FIRST_BLOCKS = 16
 # Members of one leader that are compared with it in one place.
 MEMBERS = 256
-EXAMPLES_A_TERM, LEAST_SHARE = 500, 0.4
+EXAMPLES_A_TERM, LEAST_LIFT, LEAST_SHARE = 500, 2, 0.4
 POWER = 6
 # Pieces of text that a worker remembers, and the bytes of all of them and their terms.
 CACHED_PIECES, CACHED_BYTES = 200_000, 16 << 20
@@ -350,7 +351,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_docs: DataFrame | None =
     n = n1 + n0
     least = max(min(min(max(n // EXAMPLES_A_TERM, 3), 6), n // 8), 2)
     common = staged(counts.where(F.col("a") + F.col("b") >= least).withColumn("z", F.abs(z)), "common-terms")
-    chosen = common.where(F.col("z") >= min(LEAST_SHARE * n ** 0.5, (2 * math.log(max(common.count(), 2))) ** 0.5))
+    rates = F.col("a") / F.lit(max(n1, 1)), F.col("b") / F.lit(max(n0, 1))
+    chosen = common.where(F.greatest(*rates) >= LEAST_LIFT * F.least(*rates)).where(F.col("z") >= min(LEAST_SHARE * n ** 0.5, (2 * math.log(max(common.count(), 2))) ** 0.5))
     terms = sorted(r["term"] for r in chosen.select("term").collect())  # words of EXAMPLES texts at most
     numbers = {t: i for i, t in enumerate(terms)}
 
