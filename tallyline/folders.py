@@ -13,6 +13,12 @@ def _open(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def whole_path(spark: SparkSession, path: str) -> str:
+    """With its storage, and from the root on: tables of the catalogue take a relative path to be below its own folder."""
+    store, place = _open(spark, path)
+    return store.makeQualified(place).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     store, place = _open(spark, path)
     return store.exists(place)
@@ -60,7 +66,7 @@ def publish(spark: SparkSession, path: str, text: str) -> bool:
     java = spark.sparkContext._jvm
     try:
         if store.getUri().getScheme() == "file":
-            os.link(_open(spark, hidden)[1].toUri().getPath(), place.toUri().getPath())
+            os.link(*[store.makeQualified(_open(spark, name)[1]).toUri().getPath() for name in (hidden, path)])
         else:
             options = spark.sparkContext._gateway.new_array(java.org.apache.hadoop.fs.Options.Rename, 1)
             options[0] = java.org.apache.hadoop.fs.Options.Rename.NONE

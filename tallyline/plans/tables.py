@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.folders import whole_path
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> DataFrame:
     """The stored table, or an empty one before the first load."""
@@ -46,7 +48,7 @@ def bucketed_table(spark: SparkSession, path: str, schema: T.StructType, by: lis
     columns = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema], *[f"`{c}` string" for c in by]])
     partitioned = f"PARTITIONED BY ({', '.join(by)}) " if by else ""
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned}"
-              f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION {text(path)}")
+              f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION {text(whole_path(spark, path))}")
     try:
         if partitions:
             listed = " ".join("PARTITION (" + ", ".join(f"{c} = {text(v)}" for c, v in p.items()) + ")" for p in partitions)
@@ -61,7 +63,7 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, by: list[st
     many partitions by the key, so that each task fills one bucket."""
     name = f"tallyline_{uuid.uuid4().hex[:12]}"
     try:
-        writer = df.write.format("parquet").mode("errorifexists").bucketBy(buckets, key).option("path", path)
+        writer = df.write.format("parquet").mode("errorifexists").bucketBy(buckets, key).option("path", whole_path(df.sparkSession, path))
         (writer.partitionBy(*by) if by else writer).saveAsTable(name)
     finally:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")  # the files lie in a folder of their own and stay
