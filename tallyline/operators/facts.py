@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tallyline.functions import dates
 from tallyline.functions.grouping import keep_first
 from tallyline.functions.numbers import number_text
 from tallyline.schemas import DAILY_KEYS, FACT_TRANSACTIONS, RETURN, SALE
+from tallyline.session import stage
+
+# So many short hashes of repeated rows are sent to every task; with more, all rows are exchanged.
+FEW_REPEATED = 100_000
 
 
 def row_hash() -> Column:
@@ -22,20 +27,57 @@ def hashed(lines: DataFrame) -> DataFrame:
     return lines.withColumn("source_row_hash", row_hash())
 
 
-def fact_transactions(lines: DataFrame) -> DataFrame:
-    """Typed fact projection of accepted lines. Quantities are cut to whole numbers here, after
-    the revenue was computed from the full value. Lines whose values do not fit were rejected before."""
+def fact_transactions(lines: DataFrame, also: list[Column] | None = None) -> DataFrame:
+    """Typed fact projection of accepted lines, and columns kept beside it. Quantities are cut to whole numbers
+    here, after the revenue was computed from the full value. Lines whose values do not fit were rejected before."""
     source = {"transaction_date": "invoice_ts"}
     typed = hashed(lines)
     return typed.select(
-        *[F.col(source.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in FACT_TRANSACTIONS]
-    )
+        *[F.col(source.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in FACT_TRANSACTIONS], *also or [])
+
+
+def _repeated(facts: DataFrame) -> tuple[DataFrame, int]:
+    """Short hashes that occur more than once and their number, which is only counted up to one too many."""
+    counted = facts.groupBy(F.xxhash64("source_row_hash").alias("_short")).agg(F.count("*").alias("_n"))
+    repeated = stage(counted.where("_n > 1").select("_short"), "repeated-hashes")
+    return repeated, repeated.limit(FEW_REPEATED + 1).count()
 
 
 def distinct_facts(facts: DataFrame) -> DataFrame:
-    """One row per hash; which of several is kept is decided by the content of the row."""
+    """One row per hash; which of several is kept is decided by the content of the row.
+
+    Hashes that occur more than once are found first, in a pass that exchanges eight bytes a row. Only
+    their rows are exchanged whole, so long as they are few; all others are the only ones of their hash.
+    """
     order = [F.col(c) for c in facts.columns if c != "source_row_hash"]
-    return keep_first(facts, ["source_row_hash"], order)
+    repeated, found = _repeated(facts)
+    if not found:
+        return facts
+    if found > FEW_REPEATED:
+        return keep_first(facts, ["source_row_hash"], order)
+    marked, few = facts.withColumn("_short", F.xxhash64("source_row_hash")), F.broadcast(repeated)
+    again = marked.join(few, "_short", "left_semi").select(facts.columns)
+    return marked.join(few, "_short", "left_anti").select(facts.columns).unionByName(keep_first(again, ["source_row_hash"], order))
+
+
+def lines_of_facts(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """The accepted lines whose facts ``distinct_facts`` keeps. ``keys``: columns that identify a line.
+
+    Lines that lose to another one of their hash are found once and left out by their keys, so the facts need
+    not be written beside the lines, and readers compute only the columns that they use.
+    """
+    marks = [f"_key{n}" for n in range(len(keys))]
+    typed = fact_transactions(lines, [F.col(key).alias(mark) for key, mark in zip(keys, marks, strict=True)])
+    repeated, found = _repeated(typed)
+    if not found:
+        return lines
+    if found <= FEW_REPEATED:
+        typed = typed.join(F.broadcast(repeated), F.xxhash64("source_row_hash") == F.col("_short"), "left_semi")
+    order = [F.col(c) for c in typed.columns if c != "source_row_hash"]
+    rank = F.row_number().over(W.partitionBy("source_row_hash").orderBy(*order))
+    later = stage(typed.withColumn("_rank", rank).where("_rank > 1").select(marks), "later-lines")
+    same = [F.col(key).eqNullSafe(F.col(mark)) for key, mark in zip(keys, marks, strict=True)]
+    return lines.join(later, same, "left_anti")
 
 
 def cut_quantities(lines: DataFrame) -> DataFrame:

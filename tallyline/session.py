@@ -12,6 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyline import folders
 
 
+_UNLESS_SET = {
+    # Dense files: what a task reads of them fits its memory where it is sorted before a shuffle.
+    "spark.sql.files.maxPartitionBytes": "32m",
+    # Java compiles no method longer than this; Spark then splits the rules on a line into smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings for correct results: timestamps are wall clocks labelled UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -19,6 +27,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Two open files per task: accepted and rejected lines are written without sorting them first.
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+    for name, value in _UNLESS_SET.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -43,6 +54,20 @@ def staging_root(spark: SparkSession) -> str:
 _areas: list[list[str]] = []
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What the writes inside have shuffled leaves the disks when each of them ends, not at some later collection."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 @contextmanager
 def staging_area(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are deleted at the end, also when the work in between fails."""
@@ -64,8 +89,10 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     if _areas:
         _areas[-1].append(path)
-    writer = df.write.mode("errorifexists")
+    # Hashes are hex text, which Spark's default compression leaves at its full length.
+    writer = df.write.mode("errorifexists").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffles_dropped(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
