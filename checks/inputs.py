@@ -48,9 +48,11 @@ RETAIL_BASE = _RETAIL_COLUMNS + """FROM lineitem l JOIN orders o ON l.l_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN part p ON l.l_partkey = p.p_partkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
-# The same inner joins in an order for large tables: lines move narrow to their part, then once to their order,
-# which has its customer and nation already.
-_RETAIL_BASE_AT_SIZE = _RETAIL_COLUMNS + """FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+# The same inner joins in an order for large tables: lines move narrow to their part, then once, with what they take
+# of it, to their order, which has its customer and nation already.
+_PART_COLUMNS = "p.p_name, CASE WHEN l.l_linenumber = 5 THEN p.p_type END AS p_type, p.p_retailprice"
+_RETAIL_BASE_AT_SIZE = _RETAIL_COLUMNS.replace("p.p_", "l.p_") + f"""FROM
+(SELECT l.*, {_PART_COLUMNS} FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) l
 JOIN (orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
 ON l.l_orderkey = o.o_orderkey
 """
@@ -127,14 +129,17 @@ class Inputs:
     def unique(self) -> DataFrame:
         return ingest.unique_lines(self.combined)
 
+    @cached_property
+    def _staged_lines(self) -> tuple[DataFrame, DataFrame]:
+        return cleaning.staged_lines(self.combined)
+
     @property
     def duplicates(self) -> DataFrame:
-        lines = self.combined
-        return ingest.duplicate_lines(lines, cleaning.raw_lines(self.checked, lines.columns))
+        return self._staged_lines[1]
 
-    @cached_property
+    @property
     def checked(self) -> DataFrame:
-        return stage(cleaning.check_lines(self.unique), "checked", ["accepted"])
+        return self._staged_lines[0]
 
     @cached_property
     def fill_names(self) -> DataFrame:
@@ -173,9 +178,9 @@ class Inputs:
     def catalogue(self) -> DataFrame:
         return stage(build_catalogue(self.combined.drop("source_priority")), "catalogue")
 
-    @cached_property
+    @property
     def rejected(self) -> DataFrame:
-        return stage(rejects.rejected_rows(self.checked, self.fill_names, self.duplicates), "rejected")
+        return rejects.rejected_rows(self.checked, self.fill_names, self.duplicates)
 
     @property
     def reject_log(self) -> DataFrame:

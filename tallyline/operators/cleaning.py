@@ -94,10 +94,16 @@ def reject_reason(lines: DataFrame) -> DataFrame:
 def check_lines(unique: DataFrame) -> DataFrame:
     """All rules in order. Only narrow projections: no shuffle, whole-stage code generation.
 
-    Raw texts are kept beside the cleaned ones, so the unique lines can be read back from the
-    result and need not be found a second time for the duplicates log.
+    Raw texts are kept beside the cleaned ones, so the unique lines can be read back from the result.
     """
-    raw = unique.withColumns({f"{name}_raw": F.col(name) for name in RAW_TEXTS})
+    return _rules(_with_raw_texts(unique))
+
+
+def _with_raw_texts(lines: DataFrame) -> DataFrame:
+    return lines.withColumns({f"{name}_raw": F.col(name) for name in RAW_TEXTS})
+
+
+def _rules(raw: DataFrame) -> DataFrame:
     return (
         raw.transform(coerce_numbers)
         .transform(normalize_codes)
@@ -111,8 +117,21 @@ def check_lines(unique: DataFrame) -> DataFrame:
     )
 
 
+def staged_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The checked unique lines and the duplicates of combined lines, as partitions of one staged table.
+
+    Both come from one exchange of the lines. Duplicates keep their raw texts only, so that no rule is
+    computed on them.
+    """
+    raw = _with_raw_texts(ingest.marked_lines(lines))
+    seen = raw.withColumns({name: F.when(~F.col("duplicate"), F.col(name)) for name in RAW_TEXTS})
+    marked = stage(_rules(seen), "lines", ["duplicate", "accepted"])
+    duplicates = raw_lines(marked.where("duplicate"), lines.columns)
+    return marked.where("NOT duplicate").drop("duplicate"), ingest.with_duplicate_reason(duplicates)
+
+
 def raw_lines(checked: DataFrame, columns: list[str]) -> DataFrame:
-    """The unique lines as they came in."""
+    """Lines as they came in."""
     return checked.select(*[
         F.col(f"{name}_raw").alias(name) if name in RAW_TEXTS else F.col(name) for name in columns
     ])
@@ -173,8 +192,7 @@ def run_transformation(lines: DataFrame, keywords: KeywordMap = PIPELINE_KEYWORD
 
     The checked lines and the fill names are read several times: staged.
     """
-    checked = stage(check_lines(ingest.unique_lines(lines)), "checked", ["accepted"])
-    duplicates = ingest.duplicate_lines(lines, raw_lines(checked, lines.columns))
+    checked, duplicates = staged_lines(lines)
     names = stage(fill_names(checked), "fill-names")
     products = assign_category(canonical_names(checked, names), keywords, catalogue)
     return Cleaned(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.grouping import keep_first, subtract_copies
+from tallyline.functions.grouping import keep_first, mark_rest, subtract_copies
 from tallyline.schemas import DUPLICATE
 
 # Compared as raw text, before any cleaning; null equals null.
@@ -34,10 +34,19 @@ def unique_lines(lines: DataFrame) -> DataFrame:
     return keep_first(lines, LINE_KEYS, line_order(lines))
 
 
+def marked_lines(lines: DataFrame) -> DataFrame:
+    """All lines; ``duplicate`` is false for those of ``unique_lines`` and true for the others."""
+    return mark_rest(lines, LINE_KEYS, line_order(lines), "duplicate")
+
+
 def duplicate_lines(lines: DataFrame, unique: DataFrame | None = None) -> DataFrame:
     """All other lines, with the reject reason."""
     unique = unique_lines(lines) if unique is None else unique
-    return subtract_copies(lines, unique).withColumn("rejection_reason", F.lit(DUPLICATE))
+    return with_duplicate_reason(subtract_copies(lines, unique))
+
+
+def with_duplicate_reason(duplicates: DataFrame) -> DataFrame:
+    return duplicates.withColumn("rejection_reason", F.lit(DUPLICATE))
 
 
 def dedup_counts(lines: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # Two open files per task: accepted and rejected lines are written without sorting them first.
-    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+    # Three open files per task: accepted, rejected and repeated lines are written without sorting them first.
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "3")
     for name, value in _UNLESS_SET.items():
         if spark.conf.get(name, None) is None:
             spark.conf.set(name, value)

@@ -37,6 +37,20 @@ def test_first_and_rest_are_a_partition(spark, monkeypatch, seed):
     assert rest + Counter(tuple(r) for r in first.collect()) == Counter(data)
 
 
+@pytest.mark.parametrize("hot", [50, 10**9])
+def test_marked_rows_are_first_and_rest(spark, monkeypatch, hot):
+    monkeypatch.setattr(grouping, "HOT_ROWS", hot)
+    monkeypatch.setattr(grouping, "COPIES_PER_CHUNK", 7)
+    order = [F.col("v"), F.col("w").asc_nulls_last()]
+    data = skewed_rows(6)
+    df = spark.createDataFrame(data, "k string, v int, w string").repartition(7)
+    assert (len(grouping.hot_keys(df, ["k"])) > 0) == (hot == 50)
+    marked = grouping.mark_rest(df, ["k"], order, "rest").collect()
+    first = Counter(tuple(r) for r in keep_first(df, ["k"], order).collect())
+    assert Counter(tuple(r)[:3] for r in marked if not r.rest) == first
+    assert Counter(tuple(r)[:3] for r in marked) == Counter(data)
+
+
 def test_mode_matches_brute_force(spark):
     data = [(k, str(v)) for k, v, _ in skewed_rows(4)]
     df = spark.createDataFrame(data, "k string, v string")

@@ -52,6 +52,22 @@ def test_exports_are_filters_on_tables_joined_once(spark):
     assert as_written.exceptAll(data.raw1).isEmpty() and data.raw1.exceptAll(as_written).isEmpty()
 
 
+def test_duplicates_come_with_the_checked_lines(spark):
+    data = Inputs(spark, SF_DIR)
+    for df in (data.checked, data.duplicates):
+        assert "Exchange" not in plan(df) and "Window" not in plan(df)
+    assert "rejected" not in data.__dict__ and data.duplicates.count() + data.checked.count() == data.combined.count()
+
+
+def test_repeated_keys_are_looked_for_by_short_hashes(spark):
+    rows = [("a", 1), ("a", 1), ("a", 2), (None, 1), (None, 1), ("b", None), ("c", None), ("c", None)]
+    table = spark.createDataFrame(rows, "x string, y int")
+    found = quality.repeated_keys(table, ["x", "y"])
+    assert sorted(map(str, found.collect())) == sorted(map(str, table.groupBy("x", "y").count().where("count > 1").select("x", "y").collect()))
+    own = quality.repeated_keys(table.distinct(), ["x", "y"])
+    assert own.count() == 0 and "Exchange" not in plan(own)
+
+
 def test_a_check_builds_only_its_tables(spark):
     data = Inputs(spark, SF_DIR)
     assert quality.fk_orphans(data.tables).count() == 5
