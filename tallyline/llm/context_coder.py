@@ -72,8 +72,9 @@ class _Mixer:
     def learn(self, n: int, ids: np.ndarray, order: np.ndarray) -> None:
         """``order``: 0 where order 2 was right, 1 where order 1 was, else 2. ids as 32-bit integers."""
         now = self.w + _GAINS.take(order)
-        if (self.total > _LIMIT).any():
-            now = np.where(self.total > _LIMIT, (now >> 1 & 0x7FFF7FFF7FFF) + 0x100010001, now)
+        full = np.flatnonzero(self.total > _LIMIT)  # few lanes at a time
+        if len(full):
+            now[full] = (now.take(full) >> 1 & 0x7FFF7FFF7FFF) + 0x100010001
         self.weights[self.row] = now
         for slots, at, k, p in ((self.slots1, self.at1, self.k1, self.p1), (self.slots2, self.at2, self.k2, self.p2)):
             hit = p == ids

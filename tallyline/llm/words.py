@@ -41,11 +41,15 @@ class WordIds(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         rules = json.loads(self.tokenizer.to_str())
         # Words that only the library may split: other characters, or a special string inside.
         self.odd = re.compile("|".join([_ODD, *[re.escape(t["content"]) for t in rules["added_tokens"]]]))
-        self.packed = struct.Struct("<H" if self.dtype.itemsize == 2 else "<I").pack
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        self.packed = [struct.Struct(f"<{n}{code}").pack for n in range(64)]
+        # No special string is inside a word of ASCII letters.
+        self.letters_are_plain = not any(re.fullmatch("[A-Za-z]*", t["content"]) for t in rules["added_tokens"])
         steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
         split = steps[0] if steps else {}
         # The word rules of _PIECES hold for this shape; any other tokenizer gets whole texts.
@@ -65,13 +69,16 @@ class WordIds(dict):
             if len(self.pieces) >= CACHED_PIECES:
                 self.pieces.clear()
             written = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
-            packed = self.packed
-            found = self.pieces[piece] = b"".join([packed(t.id) for t in self.tokenizer.model.tokenize(written)])
+            ids = [t.id for t in self.tokenize(written)]
+            found = self.pieces[piece] = self.packed[len(ids)](*ids) if len(ids) < 64 else np.array(ids, self.dtype).tobytes()
         return found
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
+        if self.letters_are_plain and word.isalpha():
+            ids = self[word] = self._piece(word.lower().decode())
+            return ids
         text = word.decode()
         if self.odd.search(text):
             ids = self._library(text)
