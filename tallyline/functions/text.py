@@ -18,11 +18,14 @@ WHITESPACE = "".join(
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Texts that begin and end with a printable ASCII character, nearly all, are not searched for white space."""
+    first, last = F.ascii(text), F.ascii(F.substring(text, -1, 1))
+    return F.when(first.between(33, 126) & last.between(33, 126), text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def remove_whitespace(text: Column) -> Column:
-    return F.translate(text, WHITESPACE, "")
+    """Only texts with something else than printable ASCII characters are rewritten."""
+    return F.when(text.rlike("^[!-~]*+\\z"), text).otherwise(F.translate(text, WHITESPACE, ""))
 
 
 def missing_to_null(text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import dates
 from tallyline.functions.numbers import number_text, percent, to_number
-from tallyline.functions.text import blank_to_null, missing_to_null, product_code, strip
+from tallyline.functions.text import WHITESPACE, blank_to_null, missing_to_null, product_code, strip
 from tallyline.operators import categories, cleaning, facts, ingest, rejects
 from tallyline.schemas import BAD_DATE, BAD_PRICE, NO_CODE, NOT_NUMERIC
 from tallyline.sources.keywords import CATALOGUE_KEYWORDS, PIPELINE_KEYWORDS, read_keyword_map
@@ -184,3 +184,22 @@ def test_percent_rounds_half_away_and_guards_zero(spark):
 def test_yearly_union(spark, make_lines):
     both = yearly_union([make_lines({}, {}), make_lines({})])
     assert sorted(r.sheet for r in both.collect()) == [0, 0, 1]
+
+
+def test_fast_ways_of_texts_and_dates_give_the_same(spark):
+    """Texts of printable ASCII and ISO dates take a cheaper way than the general rule, with the same result."""
+    ends = ["", "a", " ", "\t", " ", "　", "\x1f", "\x00", "\x7f", "é", "İ", "\n", "~", "!"]
+    texts = [None, *[a + m + b for a in ends for m in ("", "b c", " ") for b in ends]]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~strip(F.col("t")).eqNullSafe(F.btrim("t", F.lit(WHITESPACE)))).count() == 0
+    assert df.where(~product_code(F.col("t")).eqNullSafe(F.translate(F.upper("t"), WHITESPACE, ""))).count() == 0
+
+    stamps = [f"{y}-{m}-{d}{gap}{time}{end}" for y in ("0000", "0001", "1582", "2000", "2001", "9999")
+              for m in ("00", "02", "10", "13") for d in ("00", "05", "29", "31") for gap in (" ", "T")
+              for time in ("08:26:00", "23:59:59", "24:00:00", "08:60:00", "08:26:60") for end in ("", "Z", "\n", " ")]
+    df = spark.createDataFrame([(t,) for t in [None, "", "٢٠٠١-01-01 08:26:00", *stamps]], "t string")
+    layouts = [*dates.MONTH_FIRST, *dates.DAY_FIRST, *dates.OTHERS]
+    slow = F.coalesce(*[F.try_to_timestamp("t", F.lit(layout)) for layout in layouts])
+    assert df.where(~dates.general_timestamp(F.col("t")).eqNullSafe(slow)).count() == 0
+    plan = df.select(dates.general_timestamp(F.col("t")), strip(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(t" in plan and "ascii(t" in plan
