@@ -7,7 +7,8 @@ the last return the columns of ``documents``. Rows with a null id are kept by ev
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,9 @@ from tallyline.llm.toxicity import toxicity
 from tallyline.session import staging_root
 
 TOXIC = 0.3
+# Whole texts go to Python in batches of so many rows; ten times as many, Spark's default, take tens of MB in each
+# task's JVM buffers and again in its worker.
+_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,11 +62,22 @@ STAGES: list[tuple[str, Stage]] = [
 ]
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{staging_root(spark)}/pipeline-{uuid.uuid4().hex[:12]}"
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
     return docs
 
 

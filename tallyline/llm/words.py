@@ -11,14 +11,14 @@ import json
 import re
 import struct
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-# Words are remembered up to this number, then forgotten all at once: a bound on a worker's memory.
-CACHED_WORDS = 400_000
-CACHED_PIECES = 1_000_000
+# Words and their pieces are remembered up to this number, then forgotten all at once: a bound on a worker's memory.
+CACHED_WORDS = 600_000
 
 # Below U+0180, without one letter that lower-cases out of that range, lower-casing and the letter
 # and number classes are the same in every Unicode version, and NFC changes nothing.
@@ -35,41 +35,51 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+_ID = attrgetter("id")
+
+
 class WordIds(dict):
-    """Word (bytes without white space) -> its ids as little-endian bytes; filled on demand."""
+    """Word (bytes without white space) -> its ids as little-endian bytes; filled on demand.
+
+    Pieces of words are kept beside the words, once for both: a piece that is a word has the same ids.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        rules = json.loads(self.tokenizer.to_str())
+        # The rules without the vocabulary, which would take tens of MB as Python objects.
+        normal, split = [json.loads(x.__getstate__()) if x else {} for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Words that only the library may split: other characters, or a special string inside.
-        self.odd = re.compile("|".join([_ODD, *[re.escape(t["content"]) for t in rules["added_tokens"]]]))
+        self.odd = re.compile("|".join([_ODD, *map(re.escape, special)]))
         code = "H" if self.dtype.itemsize == 2 else "I"
         self.packed = [struct.Struct(f"<{n}{code}").pack for n in range(64)]
         # No special string is inside a word of ASCII letters.
-        self.letters_are_plain = not any(re.fullmatch("[A-Za-z]*", t["content"]) for t in rules["added_tokens"])
-        steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.letters_are_plain = not any(re.fullmatch("[A-Za-z]*", t) for t in special)
+        # A special string that lower-casing makes of a piece has other ids as a word.
+        self.pieces: dict[bytes, bytes] = {} if any(_PIECES.fullmatch(t.lower()) for t in special) else self
+        steps = split.get("pretokenizers", [])
         split = steps[0] if steps else {}
         # The word rules of _PIECES hold for this shape; any other tokenizer gets whole texts.
         self.by_word = (
             split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True
-            and [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and [n["type"] for n in normal.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
             and split["pattern"] == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"})
         self.alphabet = byte_alphabet()
-        self.pieces: dict[str, bytes] = {}
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids of a lower-case piece, by the library's model."""
         found = self.pieces.get(piece)
         if found is None:
-            if len(self.pieces) >= CACHED_PIECES:
+            if len(self.pieces) >= CACHED_WORDS:
                 self.pieces.clear()
-            written = piece if piece.isascii() else "".join([self.alphabet[b] for b in piece.encode()])
-            ids = [t.id for t in self.tokenize(written)]
+            written = piece.decode() if piece.isascii() else "".join([self.alphabet[b] for b in piece])
+            ids = list(map(_ID, self.tokenize(written)))
             found = self.pieces[piece] = self.packed[len(ids)](*ids) if len(ids) < 64 else np.array(ids, self.dtype).tobytes()
         return found
 
@@ -77,14 +87,14 @@ class WordIds(dict):
         if len(self) >= CACHED_WORDS:
             self.clear()
         if self.letters_are_plain and word.isalpha():
-            ids = self[word] = self._piece(word.lower().decode())
-            return ids
-        text = word.decode()
-        if self.odd.search(text):
-            ids = self._library(text)
+            ids = self._piece(word.lower())
         else:
-            text = text.lower()
-            ids = self._piece(text) if text.isalpha() else b"".join([self._piece(p) for p in _PIECES.findall(text)])
+            text = word.decode()
+            if self.odd.search(text):
+                ids = self._library(text)
+            else:
+                text = text.lower()
+                ids = self._piece(text.encode()) if text.isalpha() else b"".join([self._piece(p.encode()) for p in _PIECES.findall(text)])
         self[word] = ids
         return ids
 
@@ -111,6 +121,7 @@ def word_ids(path: str) -> WordIds:
 def forget_encoders() -> None:
     """Called at the start of other operators' tasks: a reused worker holds the memory of one of them only."""
     _known.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(column: pa.Array) -> Iterator[bytes]:

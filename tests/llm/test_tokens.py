@@ -185,3 +185,12 @@ def test_query_digests(spark, libraries):
     packed = queries()["op8_packing"](spark, sf_dir).groupBy("doc_id").sum("length").collect()
     plain = {k: n for k, n in counted.items()}
     assert {r["doc_id"]: r["n_tokens"] - 1 for r in read} == plain == {r[0]: r[1] - 1 for r in packed}
+
+
+def test_pieces_are_remembered_once(libraries):
+    """A word and the same piece of another word are one entry, and give what the library gives."""
+    encoder = WordIds(WORDS)
+    text = "Alpha (alpha) alpha's ALPHA, 42 beta-alpha <pad> [UNK] é É, çé's 's ' 4"
+    want = libraries[WORDS].encode(text, add_special_tokens=False).ids
+    assert encoder.ids(text.encode()).tolist() == want == encoder.ids(text.encode()).tolist()
+    assert encoder.pieces is encoder and encoder[b"alpha"] == encoder[b"Alpha"]
