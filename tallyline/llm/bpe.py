@@ -16,6 +16,7 @@ and repeated keys stay. Of the input only the key and the text are read; clashin
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyline.llm.words import CACHED_WORDS, byte_alphabet, texts_of
+from tallyline.llm.words import byte_alphabet, texts_of
 
 # White space as Unicode has it.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -39,6 +40,8 @@ _SPLIT = regex.compile(
 _PLAIN = re.compile(r"[^\x00-ɏ]")
 # Text per record batch handed on.
 BATCH_BYTES = 4 << 20
+# Chunks and parts after whose number those that were not used since the last time are forgotten, and arcs looked up.
+CACHED_CHUNKS, CACHED_ARCS = 250_000, 300_000
 
 
 class BpeAutomaton:
@@ -109,7 +112,7 @@ class BpeAutomaton:
                     arc = last << 32 | piece
                     ok = arcs.get(arc)
                     if ok is None:
-                        if len(arcs) > 1_000_000:
+                        if len(arcs) >= CACHED_ARCS:
                             arcs.clear()
                         ok = arcs[arc] = self._leaves(last, piece)
                     if not ok:
@@ -146,7 +149,10 @@ def spelled(labels: dict[int, bytes], ids: np.ndarray) -> str:
 
 
 class BpeCodec(dict):
-    """Whole texts to ids and back. As a dict: chunk -> its ids as 16- or 32-bit little-endian bytes."""
+    """Whole texts to ids and back. As a dict: chunk or part of one -> its ids as 16- or 32-bit little-endian bytes.
+
+    A part that is split again stays whole, so that chunks and their parts are kept together.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -166,27 +172,26 @@ class BpeCodec(dict):
         self.special = {t["content"].encode(): t["id"] for t in rules["added_tokens"]}
         self.cut = re.compile(b"(" + b"|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + b")")
         self.dtype = np.dtype("<u2" if max(self.labels) < 1 << 16 else "<u4")
-        self.pieces: dict[bytes, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _bytes(self, shown: str) -> bytes:
         return _bytes_of(shown, self.byte_of)
 
+    def _part(self, part: bytes) -> bytes:
+        return np.array(self.automaton.encode(part), self.dtype).tobytes()
+
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= CACHED_CHUNKS:
+            self.older = dict(self)
             self.clear()
-        if _PLAIN.search(chunk):
-            parts = [self._bytes(p) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
-        else:
-            parts = [p.encode() for p in _SPLIT.findall(chunk)]
-        found = []
-        for part in parts:
-            ids = self.pieces.get(part)
-            if ids is None:
-                if len(self.pieces) >= CACHED_WORDS:
-                    self.pieces.clear()
-                ids = self.pieces[part] = np.array(self.automaton.encode(part), self.dtype).tobytes()
-            found.append(ids)
-        ids = self[chunk] = b"".join(found)
+        ids = self.older.get(chunk)
+        if ids is None:
+            if _PLAIN.search(chunk):
+                ids = b"".join([self._part(self._bytes(p)) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)])
+            else:
+                parts = _SPLIT.findall(chunk)
+                ids = b"".join([self[p] for p in parts]) if len(parts) > 1 else self._part(chunk.encode())
+        self[chunk] = ids
         return ids
 
     def _plain(self, text: bytes) -> bytes:
@@ -239,10 +244,18 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     return pairs.mapInArrow(_encode(tokenizer, schema), f"{id_col} long, n_tokens long, ids binary")
 
 
+@functools.cache
+def _labels_of(path: str) -> dict[int, bytes]:
+    """The worker's labels for a vocabulary file, those of its codec if it has one."""
+    if path in _known:
+        return _known[path].labels
+    with open(path, encoding="utf-8") as file:
+        return arc_labels(json.load(file))
+
+
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(path, encoding="utf-8") as file:
-            labels = arc_labels(json.load(file))
+        labels = _labels_of(path)
         for batch in batches:
             rows = [spelled(labels, np.frombuffer(x.as_py() or b"", "<u4")) for x in batch.column("ids")]
             yield batch.append_column("decoded", pa.array(rows, pa.string()))

@@ -194,3 +194,17 @@ def test_pieces_are_remembered_once(libraries):
     want = libraries[WORDS].encode(text, add_special_tokens=False).ids
     assert encoder.ids(text.encode()).tolist() == want == encoder.ids(text.encode()).tolist()
     assert encoder.pieces is encoder and encoder[b"alpha"] == encoder[b"Alpha"]
+
+
+def test_codec_keeps_a_bounded_number_of_chunks(libraries, monkeypatch):
+    monkeypatch.setattr("tallyline.llm.bpe.CACHED_CHUNKS", 20)
+    monkeypatch.setattr("tallyline.llm.bpe.CACHED_ARCS", 30)
+    codec, rnd = BpeCodec(BYTES), random.Random(3)
+    for _ in range(60):
+        text = " ".join("".join(rnd.choices("abcdé,;.", k=rnd.randrange(1, 9))) for _ in range(30)) + " the end's"
+        assert codec.encode(text.encode()).tolist() == libraries[BYTES].encode(text, add_special_tokens=False).ids
+        assert len(codec) <= 40 and len(codec.older) <= 40 and len(codec.automaton.arcs) <= 30
+    assert " the" in codec  # used again and again
+    whole = BpeCodec(BYTES)
+    whole.encode(b" alpha,")
+    assert whole[" alpha"] == whole._part(b" alpha") and set(whole) == {" alpha,", " alpha", ","}
