@@ -29,9 +29,11 @@ from pyspark.sql import types as T
 
 from tallyline.llm import bloom
 from tallyline.llm.store import fresh, staged
-from tallyline.llm.words import texts_of
+from tallyline.llm.words import forget_encoders, texts_of
 
 WINDOW, LONG = 3, 50
+# Documents whose units a task makes at once: each unit is several Python objects.
+ROWS = 256
 
 _UNIT = pa.schema([("id", pa.int64()), ("place", pa.int64()), ("lines", pa.int32()), ("first_line", pa.int64()),
                    ("last_line", pa.int64()), ("finger", pa.int64()), ("mark", pa.binary())])
@@ -56,7 +58,8 @@ def units_of(text: bytes) -> Iterator[tuple[int, int, int, int, int, bytes]]:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    forget_encoders()
+    for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, len(whole), ROWS)):
         rows = [(key, *unit) for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))) for unit in units_of(text)]
         columns = zip(*rows) if rows else [[]] * len(_UNIT)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _UNIT.types)], schema=_UNIT)
@@ -94,6 +97,10 @@ def _without(texts: pd.Series, runs: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
+# Else a filter on the result makes Spark evaluate it once for the filter and once for the column, in a worker each.
+_without = _without.asNondeterministic()
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with all their columns, later repeated runs of lines deleted from the text.
 
@@ -108,7 +115,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return pd.Series(bloom.may_hold(table, hashes.to_numpy(np.int64)))
 
     key = F.col(id_col).cast("long")
-    marked = docs.withColumn(changes, key.isNotNull() & may_change(F.xxhash64(key)))
+    marked = docs.withColumn(changes, key.isNotNull() & may_change.asNondeterministic()(F.xxhash64(key)))
     some = marked.where(F.col(changes)).drop(changes)
     some = some.join(runs, some[id_col].cast("long") == runs[run_id], "left").withColumn(
         text_col, F.when(F.col(held).isNull() | F.col(text_col).isNull(), F.col(text_col)).otherwise(

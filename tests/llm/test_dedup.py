@@ -2,12 +2,13 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import connected_components
 from tallyline.llm.embedding_dedup import _compared, near_vectors
-from tallyline.llm.line_dedup import dedup_lines, repeated_units
+from tallyline.llm.line_dedup import _units, dedup_lines, repeated_units
 from tallyline.llm.minhash_dedup import keep_first_of_group, near_duplicates
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -218,3 +219,19 @@ def test_line_dedup_keeps_columns_of_any_name(spark):
     cleaned = dedup_lines(docs)
     assert cleaned.columns == docs.columns
     assert sorted(map(tuple, cleaned.collect())) == [(1, "a\nb\nc", *names), (2, "d", *names)]
+
+
+def test_texts_go_to_python_once_whatever_follows(spark):
+    rows = [(i, f"one {i}\ntwo\nthree\nfour\nfive {i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cleaned = dedup_lines(docs).where(F.trim("text") != "").withColumn("n", F.length("text"))
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 3  # the filter in two branches, and the deletion
+    assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == {0: rows[0][1]} | {i: f"one {i}\nfive {i}" for i in range(1, 20)}
+
+
+def test_units_are_made_a_few_documents_at_a_time(monkeypatch):
+    monkeypatch.setattr("tallyline.llm.line_dedup.ROWS", 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8), pa.int64()), pa.array(["a\nb\nc"] * 7 + [None])], names=["id", "text"])
+    made = list(_units([batch]))
+    assert [len(m) for m in made] == [3, 3, 1] and [i for m in made for i in m.column("id").to_pylist()] == list(range(7))
