@@ -38,7 +38,7 @@ from tallyline.llm import bloom
 from tallyline.llm.components import connected_components
 from tallyline.llm.shingles import shingle_sets
 from tallyline.llm.store import staged
-from tallyline.llm.words import texts_of
+from tallyline.llm.words import forget_encoders, texts_of
 
 SKETCH = 64
 # Share of the union sketch that a candidate has to have: 0.75 less 4.6 standard deviations of the estimate.
@@ -62,6 +62,7 @@ def _groups(keys: list, texts: Iterator[bytes]) -> Iterator[tuple[list, list[byt
 
 def _sketches(width: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             for ids, texts in _groups(batch.column(0).to_pylist(), texts_of(batch.column(1))):
                 sets = shingle_sets(texts, width)
@@ -74,6 +75,7 @@ def _sketches(width: int, schema: pa.Schema):
 
 def _full_sets(width: int, table: np.ndarray, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             batch = batch.filter(pa.array(bloom.may_hold(table, batch.column(2).to_numpy())))
             for ids, texts in _groups(batch.column(0).to_pylist(), texts_of(batch.column(1))):

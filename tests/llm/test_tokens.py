@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -196,6 +197,28 @@ def test_pieces_are_remembered_once(libraries):
     assert encoder.pieces is encoder and encoder[b"alpha"] == encoder[b"Alpha"]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.none() | TEXTS, max_size=6))
+def test_columns_agree_with_the_library(words, libraries, texts):
+    column = pa.array([None, "skipped", *texts], pa.string()).slice(2)
+    want = [libraries[WORDS].encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in words.each(column)] == want
+
+
+def test_columns_in_small_chunks_keep_few_pieces(libraries, monkeypatch):
+    for name, value in (("CHUNK_BYTES", 90), ("WORDS_AT_ONCE", 7), ("PIECES_AT_ONCE", 5), ("CACHED_PIECES", 20)):
+        monkeypatch.setattr(f"tallyline.llm.words.{name}", value)
+    encoder, rnd = WordIds(WORDS), random.Random(4)
+    texts = [" ".join("".join(rnd.choices("abcDé,;.8", k=rnd.randrange(1, 9))) for _ in range(rnd.randrange(9))) for _ in range(300)]
+    texts[7:9] = ["", "x<|endoftext|>y İ 日本 \xa0ſ"]
+    want = [libraries[WORDS].encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encoder.each(pa.array(texts))] == want
+    assert not encoder and len(encoder.known) < 60 and len(encoder.older) < 60
+    encoder.last[:] = False  # as in a vocabulary whose pieces have no marked end
+    encoder.known, encoder.older = {}, {}
+    assert [ids.tolist() for ids in encoder.each(pa.array(texts))] == want
+
+
 def test_codec_keeps_a_bounded_number_of_chunks(libraries, monkeypatch):
     monkeypatch.setattr("tallyline.llm.bpe.CACHED_CHUNKS", 20)
     monkeypatch.setattr("tallyline.llm.bpe.CACHED_ARCS", 30)
