@@ -1,7 +1,8 @@
 """Corpus pipeline: toxic documents go, repeated lines go, one of each near-duplicate group stays, packing.
 
 Each stage is written as Parquet to the shared folder and read again as the next one's input. All but
-the last return the columns of ``documents``. Rows with a null id are kept by every stage.
+the last return the columns of ``documents``. Rows with a null id are kept by every stage. Each stage sends
+whole texts to Python in small batches.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.minhash_dedup import keep_first_of_group
 from tallyline.llm.packing import pack
-from tallyline.llm.store import fresh, staged
+from tallyline.llm.store import fresh, small_batches, staged
 from tallyline.llm.toxicity import toxicity
 from tallyline.session import staging_root
 
@@ -25,6 +26,7 @@ TOXIC = 0.3
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; of repeated rows with one id all stay or all go."""
+    small_batches(spark)
     scored = staged(toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select("doc_id", "score"), "scores")
     toxic_id = fresh("toxic_id")
     toxic = scored.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias(toxic_id)).distinct()
@@ -41,10 +43,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_first_of_group(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm import bloom
-from tallyline.llm.store import fresh, staged
+from tallyline.llm.store import fresh, small_batches, staged
 from tallyline.llm.words import forget_encoders, texts_of
 
 WINDOW, LONG = 3, 50
@@ -106,6 +106,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Texts without such runs are not exchanged: a filter of bounded size on the ids lets them pass.
     """
+    small_batches(docs.sparkSession)
     run_id, held, changes = fresh("run_id"), fresh("runs"), fresh("may_change")
     runs = staged(repeated_runs(docs, id_col, text_col).select(F.col(id_col).alias(run_id), F.col("runs").alias(held)), "runs")
     table = bloom.build(runs.select(F.xxhash64(run_id).alias("hash")))

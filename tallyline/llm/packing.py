@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.store import staged
-from tallyline.llm.words import end_id_added, word_ids
+from tallyline.llm.words import end_id_added, gathered, word_ids
 
 # Partitions whose leftovers are merged in one task of a round.
 MERGED = 16
@@ -80,7 +80,7 @@ def _pack(path: str, end_id: int, size: int, most: int, schema: pa.Schema):
             columns = zip(*rows) if rows else [[]] * len(schema)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
-        for batch in batches:
+        for batch in gathered(batches):
             for key, ids in zip(batch.column(0).to_pylist(), encoder.each(batch.column(1))):
                 ids = end_id_added(ids, end_id)
                 data, n = ids.tobytes(), len(ids)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.context_coder import decode_segment, encode_segment
-from tallyline.llm.words import word_ids
+from tallyline.llm.words import gathered, word_ids
 
 # Ids after which a segment is closed: about 6000 blocks side by side.
 SEGMENT = 6 << 20
@@ -45,7 +45,7 @@ def _written(path: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
                 (part, segment, len(keys), len(ids), encode_segment(ids, extra)), _SEGMENTS.types)], schema=_SEGMENTS)
 
-        for batch in batches:
+        for batch in gathered(batches):
             for key, ids in zip(batch.column(0).to_pylist(), encoder.each(batch.column(1))):
                 ids = np.append(ids, np.array(end_id, encoder.dtype))
                 keys.append(key)

@@ -221,6 +221,19 @@ def texts_of(column: pa.Array) -> Iterator[bytes]:
         yield text.as_py() or b""
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to ``CHUNK_BYTES`` or more, as a chunk's distinct words are looked up once."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= CHUNK_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def end_id_added(ids: np.ndarray, end_id: int) -> np.ndarray:
     """The ids and then ``end_id``, as unsigned 32-bit integers."""
     return np.append(ids, end_id).astype("<u4")

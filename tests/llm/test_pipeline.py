@@ -58,3 +58,18 @@ def test_stages_keep_odd_rows_and_columns(spark, odd_docs, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, empty, str(tmp_path))
         assert out.count() == 0
+
+
+def test_stages_send_texts_in_small_batches(spark, odd_docs, tmp_path):
+    spark.createDataFrame([(i, 0, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = odd_docs.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text")})
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for _, stage in corpus_pipeline.STAGES:  # each alone, as another caller may take them
+            for given, want in (("10000", "1000"), ("0", "1000"), ("7", "7")):
+                spark.conf.set(name, given)
+                stage(spark, docs, str(tmp_path))
+                assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)

@@ -16,7 +16,7 @@ from tallyline.llm.context_coder import BLOCK, Damaged, decode_segment, encode_s
 from tallyline.llm.packing import OpenWindows, pack
 from tallyline.llm.token_counts import token_counts
 from tallyline.llm.token_files import read_token_files, write_token_files
-from tallyline.llm.words import WordIds
+from tallyline.llm.words import WordIds, gathered
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -219,6 +219,13 @@ def test_columns_in_small_chunks_keep_few_pieces(libraries, monkeypatch):
     assert [ids.tolist() for ids in encoder.each(pa.array(texts))] == want
 
 
+def test_batches_are_put_together(monkeypatch):
+    monkeypatch.setattr("tallyline.llm.words.CHUNK_BYTES", 60)
+    given_ = [pa.RecordBatch.from_arrays([pa.array(["x" * n for n in sizes], pa.string())], names=["t"]) for sizes in ([9], [], [30, 9], [99], [1])]
+    assert [[len(t) for t in b.column(0).to_pylist()] for b in gathered(iter(given_))] == [[9, 30, 9], [99], [1]]
+    assert list(gathered(iter([]))) == []
+
+
 def test_codec_keeps_a_bounded_number_of_chunks(libraries, monkeypatch):
     monkeypatch.setattr("tallyline.llm.bpe.CACHED_CHUNKS", 20)
     monkeypatch.setattr("tallyline.llm.bpe.CACHED_ARCS", 30)
