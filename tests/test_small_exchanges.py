@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from checks.inputs import RAW_SOURCE1, RETAIL_BASE, Inputs
 from tallyline.operators import cleaning, facts, quality
 from tallyline.session import stage
@@ -68,6 +69,14 @@ def test_repeated_keys_are_looked_for_by_short_hashes(spark):
     assert own.count() == 0 and "Exchange" not in plan(own)
 
 
+def test_a_load_takes_its_facts_from_the_staged_lines(spark):
+    data = Inputs(spark, SF_DIR)
+    lines = facts.fact_transactions(data.valid)
+    brought = queries._part(data, lines.where("year(date_id) <= 1996"))
+    assert "Exchange" not in plan(brought.facts) and set(brought.facts.inputFiles()) <= set(data.valid.inputFiles())
+    assert brought.extracted == brought.facts.count() > 0
+
+
 def test_a_check_builds_only_its_tables(spark):
     data = Inputs(spark, SF_DIR)
     assert quality.fk_orphans(data.tables).count() == 5
